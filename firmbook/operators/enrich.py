@@ -3,12 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LABEL_SUFFIX = "_descricao"
-_CODE = "_lookup_code"
+# A lookup within both bounds is broadcast.
+BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 * 1024 * 1024
+# Tasks that share the facts of one code when a lookup is beyond them.
+SALTS = 32
+_CODE, _SALT, _LOOKUP_SALT = "_lookup_code", "_salt", "_lookup_salt"
 
 
 def unique_codes(lookup: DataFrame, key: str = "codigo", value: str = "descricao") -> DataFrame:
@@ -19,6 +26,19 @@ def unique_codes(lookup: DataFrame, key: str = "codigo", value: str = "descricao
     return lookup.groupBy(key).agg(F.min(value).alias(value))
 
 
+def fits_broadcast(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> bool:
+    """Whether a table of texts is within the bounds for sending it to every executor."""
+    # Looks at one row more than allowed, never at all of a large table.
+    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c in df.columns]
+    size = df.limit(max_rows + 1).agg(
+        F.count("*").alias("n_rows"), F.sum(reduce(add, texts)).alias("n_bytes")
+    )
+    found = size.first()
+    return found.n_rows <= max_rows and (found.n_bytes or 0) <= max_bytes
+
+
 def join_lookup(
     facts: DataFrame,
     column: str,
@@ -27,20 +47,33 @@ def join_lookup(
     value: str = "descricao",
     name: str | None = None,
     null_safe: bool = False,
+    literal: bool = False,
 ) -> DataFrame:
     """Left join a lookup; the label lands in ``<column>_descricao`` (or ``name``).
 
-    Every fact row stays and stays single. No broadcast is forced: Spark
-    broadcasts a lookup whose size is known to be under its threshold, and
-    joins a bigger one by shuffling, splitting skewed codes at run time.
-    With ``null_safe`` a null code finds a lookup row with a null code.
+    Every fact row stays and stays single. The size of the lookup is checked by
+    a small job (not for a ``literal`` one, a few rows without repeated codes):
+    within bounds it is broadcast, beyond them joined by a salted shuffle. With
+    ``null_safe`` a null code finds a lookup row with a null code.
     """
-    labels = unique_codes(lookup, key, value).select(
+    labels = (lookup if literal else unique_codes(lookup, key, value)).select(
         F.col(key).alias(_CODE), F.col(value).alias(name or column + LABEL_SUFFIX)
     )
-    code = facts[column]
-    match = code.eqNullSafe(labels[_CODE]) if null_safe else code == labels[_CODE]
-    return facts.join(labels, match, "left").drop(_CODE)
+    code = F.col(column)
+    match = code.eqNullSafe(F.col(_CODE)) if null_safe else code == F.col(_CODE)
+    if literal or fits_broadcast(labels):
+        return facts.join(F.broadcast(labels), match, "left").drop(_CODE)
+    # Any code, null too, may be on a large part of the facts. The lookup is the
+    # small side even here, so it is repeated once per salt, and the facts of
+    # one code spread over that many tasks. The salt goes by the task that reads
+    # a row, so a task run again gives the same.
+    salted = facts.withColumn(_SALT, F.spark_partition_id() % SALTS)
+    repeated = labels.withColumn(
+        _LOOKUP_SALT, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    )
+    return salted.join(
+        repeated, match & (F.col(_SALT) == F.col(_LOOKUP_SALT)), "left"
+    ).drop(_CODE, _SALT, _LOOKUP_SALT)
 
 
 def join_lookups(

@@ -29,26 +29,27 @@ from firmbook.sources.lookups import qualification_lookup, reason_lookup, size_l
 from firmbook.sources.tables import read_lenient_csv, read_table, read_table_csv
 
 
-def ingest_companies(spark: SparkSession, paths, target: str) -> DataFrame:
-    return _ingest(spark, paths, COMPANIES, target)
+def ingest_companies(spark: SparkSession, paths, target: str, **options) -> DataFrame:
+    """Store company dumps as Parquet; ``options`` are those of ``read_dump``."""
+    return _ingest(spark, paths, COMPANIES, target, options)
 
 
-def ingest_establishments(spark: SparkSession, paths, target: str) -> DataFrame:
-    return _ingest(spark, paths, ESTABLISHMENTS, target)
+def ingest_establishments(spark: SparkSession, paths, target: str, **options) -> DataFrame:
+    """Store establishment dumps as Parquet; ``options`` are those of ``read_dump``."""
+    return _ingest(spark, paths, ESTABLISHMENTS, target, options)
 
 
-def ingest_partners(spark: SparkSession, paths, target: str) -> DataFrame:
-    return _ingest(spark, paths, PARTNERS, target)
+def ingest_partners(spark: SparkSession, paths, target: str, **options) -> DataFrame:
+    """Store partner dumps as Parquet; ``options`` are those of ``read_dump``."""
+    return _ingest(spark, paths, PARTNERS, target, options)
 
 
 def enrich_companies(
     companies: DataFrame, legal_natures: DataFrame, sizes: DataFrame | None = None
 ) -> DataFrame:
     """Add the labels of company size and legal nature."""
-    sizes = size_lookup(companies.sparkSession) if sizes is None else sizes
-    return join_lookups(
-        companies, {"porte_empresa": sizes, "natureza_juridica": legal_natures}
-    )
+    sized = _join_own(companies, "porte_empresa", sizes, size_lookup)
+    return join_lookup(sized, "natureza_juridica", legal_natures)
 
 
 def enrich_establishments(
@@ -59,28 +60,28 @@ def enrich_establishments(
     reasons: DataFrame | None = None,
 ) -> DataFrame:
     """Add the full id and the labels of city, activity, country and status reason."""
-    reasons = reason_lookup(establishments.sparkSession) if reasons is None else reasons
-    return join_lookups(
+    labelled = join_lookups(
         establishments.withColumn("CNPJ", establishment_key()),
-        {
-            "municipio": cities,
-            "cnae_fiscal_principal": activities,
-            "pais": countries,
-            "motivo_situacao_cadastral": reasons,
-        },
+        {"municipio": cities, "cnae_fiscal_principal": activities, "pais": countries},
     )
+    return _join_own(labelled, "motivo_situacao_cadastral", reasons, reason_lookup)
 
 
 def enrich_partners(
     partners: DataFrame, countries: DataFrame, qualifications: DataFrame | None = None
 ) -> DataFrame:
     """Add the labels of qualification and country."""
-    if qualifications is None:
-        qualifications = qualification_lookup(partners.sparkSession)
-    labelled = join_lookup(partners, "qualificacao_socio", qualifications)
+    labelled = _join_own(partners, "qualificacao_socio", qualifications, qualification_lookup)
     return join_lookup(labelled, "pais", countries)
 
 
+def _join_own(facts: DataFrame, column: str, given: DataFrame | None, own) -> DataFrame:
+    """Join the given lookup, or the one this package carries."""
+    if given is None:
+        return join_lookup(facts, column, own(facts.sparkSession), literal=True)
+    return join_lookup(facts, column, given)
+
+
 # The two tables whose files are known to hold uneven rows, and the one that does not.
 _LENIENT = {"empresas": COMPANIES, "socios": PARTNERS}
 _STRICT = {"estabelecimentos": ESTABLISHMENTS}
@@ -98,14 +99,17 @@ def csv_to_parquet(
     is passed over.
     """
     encodings = encodings or {}
+    # The names of the few folders there, nothing of their content.
     found = {row.dataset for row in dataset_bytes(spark, csv_root).select("dataset").collect()}
     for table, columns in (_LENIENT | _STRICT).items():
         if table not in found:
             continue
-        read = read_lenient_csv if table in _LENIENT else read_table_csv
-        df = read(
-            spark, f"{csv_root}/{table}", columns, encoding=encodings.get(table, "UTF-8")
-        )
+        source = {"path": f"{csv_root}/{table}", "columns": columns}
+        source["encoding"] = encodings.get(table, "UTF-8")
+        if table in _LENIENT:
+            df = read_lenient_csv(spark, **source)
+        else:
+            df = read_table_csv(spark, **source, null_tokens=("",))
         write_parquet(df, f"{parquet_root}/{table}")
     return compression_ratio(
         dataset_bytes(spark, csv_root), dataset_bytes(spark, parquet_root)
@@ -151,6 +155,6 @@ def load_establishments(establishments: DataFrame, limit: int | None = None) ->
     )
 
 
-def _ingest(spark: SparkSession, paths, columns, target: str) -> DataFrame:
-    write_parquet(read_dump(spark, paths, columns, skip_failed_files=True), target)
+def _ingest(spark: SparkSession, paths, columns, target: str, options) -> DataFrame:
+    write_parquet(read_dump(spark, paths, columns, **options), target)
     return read_table(spark, target)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firmbook.layout import COMPANY_SIZES, QUALIFICATIONS, STATUS_REASONS, text_schema
+from firmbook.sources.dumps import nullify_tokens
 
 LOOKUP_COLUMNS = ("codigo", "descricao")
 
@@ -28,16 +29,19 @@ def read_lookup(
     """
     reader = spark.read.options(header=header, sep=sep, encoding=encoding, escape='"')
     if not header:
-        return reader.schema(text_schema(LOOKUP_COLUMNS)).csv(path)
+        return nullify_tokens(reader.schema(text_schema(LOOKUP_COLUMNS)).csv(path))
     # No inference: without it every column of a CSV file is text.
-    return reader.csv(path).select(
-        F.col(key).alias("codigo"), F.col(value).alias("descricao")
+    return nullify_tokens(
+        reader.csv(path).select(F.col(key).alias("codigo"), F.col(value).alias("descricao"))
     )
 
 
 def inline_lookup(spark: SparkSession, pairs: Iterable[tuple[str, str]]) -> DataFrame:
-    """A few literal rows as a table, of a size the optimizer knows."""
-    rows = [F.struct(F.lit(code).alias("codigo"), F.lit(label).alias("descricao")) for code, label in pairs]
+    """A few literal rows as a table."""
+    rows = [
+        F.struct(F.lit(code).alias("codigo"), F.lit(label).alias("descricao"))
+        for code, label in pairs
+    ]
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 

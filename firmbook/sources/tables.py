@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from firmbook.layout import text_schema
+from firmbook.layout import NULL_TOKENS, text_schema
 from firmbook.sources.dumps import dump_options, dump_schema, nullify_tokens, tidy_dump
 
 
@@ -17,9 +17,9 @@ def read_table_csv(
     columns: Sequence[str],
     sep: str = ";",
     encoding: str = "UTF-8",
-    null_tokens: Sequence[str] = (),
+    null_tokens: Sequence[str] = NULL_TOKENS,
 ) -> DataFrame:
-    """Read a CSV table with header, every column as text."""
+    """Read a CSV table with header, every column as text; null tokens become null."""
     df = (
         spark.read.schema(text_schema(columns))
         .options(header=True, sep=sep, encoding=encoding, escape='"')
@@ -37,12 +37,11 @@ def read_lenient_csv(
 ) -> DataFrame:
     """Read a CSV table with header, passing over what does not fit.
 
-    Short rows are filled with null, rows with too many fields and unreadable
-    files are dropped.
+    Short rows are filled with null, rows with too many fields are dropped.
     """
     raw = (
         spark.read.schema(dump_schema(columns))
-        .options(**dump_options(sep, encoding, skip_failed_files=True, header=True))
+        .options(**dump_options(sep, encoding, header=True))
         .csv(path if isinstance(path, str) else list(path))
     )
     return tidy_dump(raw, columns, sep, null_tokens=("",))

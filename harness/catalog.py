@@ -211,7 +211,7 @@ def src_lookup_csv(t):
     "companies sizes",
 )
 def src_inline_table(t):
-    labelled = join_lookup(t.companies, "porte_empresa", size_lookup(t.spark))
+    labelled = join_lookup(t.companies, "porte_empresa", size_lookup(t.spark), literal=True)
     return labelled.groupBy("porte_empresa", "porte_empresa_descricao").agg(
         F.count("*").alias("total")
     )
@@ -506,9 +506,9 @@ def transcode_latin1(t):
 # --- filters ------------------------------------------------------------------
 
 
-@query("select cnpj_basico, numero from establishments where situacao_cadastral = '02'", "establishments")
+@query("select cnpj_basico, numero from establishments where situacao_cadastral = 'F'", "establishments")
 def filter_equals(t):
-    return t.establishments.where(F.col("situacao_cadastral") == "02").select("cnpj_basico", "numero")
+    return t.establishments.where(F.col("situacao_cadastral") == "F").select("cnpj_basico", "numero")
 
 
 @query("select cnpj_basico, porte_empresa from companies where porte_empresa <> '00'", "companies")
@@ -523,12 +523,12 @@ def filter_is_not_null(t):
 
 @query(
     """select cnpj_basico, numero from establishments
-       where cnae_fiscal_principal is not null and situacao_cadastral = '02'""",
+       where cnae_fiscal_principal is not null and situacao_cadastral = 'F'""",
     "establishments",
 )
 def filter_conjunction(t):
     return t.establishments.where(
-        F.col("cnae_fiscal_principal").isNotNull() & (F.col("situacao_cadastral") == "02")
+        F.col("cnae_fiscal_principal").isNotNull() & (F.col("situacao_cadastral") == "F")
     ).select("cnpj_basico", "numero")
 
 
@@ -561,7 +561,7 @@ def filter_having(t):
     "companies sizes",
 )
 def join_lookup_left(t):
-    return join_lookup(t.companies, "porte_empresa", size_lookup(t.spark)).select(
+    return join_lookup(t.companies, "porte_empresa", size_lookup(t.spark), literal=True).select(
         "cnpj_basico", "porte_empresa_descricao"
     )
 
@@ -873,11 +873,11 @@ def head_sample(t):
 
 
 @query(
-    "select * from partners union all select * from partners where identificador_socio = '1'",
+    "select * from partners union all select * from partners where identificador_socio = 'A'",
     "partners",
 )
 def union_all_append(t):
-    return t.partners.unionByName(t.partners.where(F.col("identificador_socio") == "1"))
+    return t.partners.unionByName(t.partners.where(F.col("identificador_socio") == "A"))
 
 
 @query(ALL_COMPANIES, "companies")
@@ -907,7 +907,7 @@ def stream_incremental_ingest(t):
               listagg(distinct e.razao_social, '; ' order by e.razao_social) as empresas_controladas,
               listagg(distinct s.cnpj_basico, '; ' order by s.cnpj_basico) as cnpjs_controlados
        from partners s join companies e on s.cnpj_basico = e.cnpj_basico
-       where s.identificador_socio = '1'
+       where s.identificador_socio = 'A'
        group by s.cnpj_cpf_socio, s.nome_socio
        having count(distinct s.cnpj_basico) >= 2
        order by qtd_empresas_controladas desc, cnpj_controladora nulls first, nome_controladora
@@ -915,7 +915,7 @@ def stream_incremental_ingest(t):
     "partners companies",
 )
 def q_corporate_groups(t):
-    return reports.corporate_groups(t.partners, t.companies, legal_person="1")
+    return reports.corporate_groups(t.partners, t.companies, legal_person="A")
 
 
 @query(
@@ -923,14 +923,14 @@ def q_corporate_groups(t):
               round(avg(cast(replace(emp.capital_social, ',', '.') as double)), 2) as capital_medio
        from establishments est
        join companies emp on left(est.cnpj_basico || est.cnpj_ordem || est.cnpj_dv, 8) = emp.cnpj_basico
-       where est.identificador_matriz = '1' and emp.porte_empresa != '00'
+       where est.identificador_matriz = '1-URGENT' and emp.porte_empresa != '00'
          and emp.capital_social is not null
        group by est.uf, emp.porte_empresa""",
     "establishments companies",
 )
 def q_companies_by_size_and_state(t):
     return reports.companies_by_size_and_state(
-        t.establishments, t.companies, head_office="1", size_unknown="00"
+        t.establishments, t.companies, head_office="1-URGENT", size_unknown="00"
     )
 
 
@@ -938,13 +938,13 @@ def q_companies_by_size_and_state(t):
     """select cnae_fiscal_principal, count(*) as quantidade_empresas,
               count(distinct left(cnpj_basico || cnpj_ordem || cnpj_dv, 8)) as quantidade_cnpjs_basicos
        from establishments
-       where cnae_fiscal_principal is not null and situacao_cadastral = '02'
+       where cnae_fiscal_principal is not null and situacao_cadastral = 'F'
        group by cnae_fiscal_principal
        order by quantidade_empresas desc, cnae_fiscal_principal limit 50""",
     "establishments",
 )
 def q_top_activities(t):
-    return reports.top_activities(t.establishments, active="02")
+    return reports.top_activities(t.establishments, active="F")
 
 
 @query(

