@@ -27,16 +27,18 @@ def unique_codes(lookup: DataFrame, key: str = "codigo", value: str = "descricao
 
 
 def fits_broadcast(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+    texts: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """Whether a table of texts is within the bounds for sending it to every executor."""
-    # Looks at one row more than allowed, never at all of a large table.
-    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c in df.columns]
-    size = df.limit(max_rows + 1).agg(
-        F.count("*").alias("n_rows"), F.sum(reduce(add, texts)).alias("n_bytes")
-    )
-    found = size.first()
-    return found.n_rows <= max_rows and (found.n_bytes or 0) <= max_bytes
+    """Whether a table of texts is within the bounds for sending it to every executor.
+
+    Runs a small job of partial counts; one row of two numbers comes back.
+    """
+    lengths = [F.coalesce(F.octet_length(c), F.lit(0)) for c in texts.columns]
+    found = texts.agg(
+        F.count("*").alias("n_rows"),
+        F.coalesce(F.sum(reduce(add, lengths)), F.lit(0)).alias("n_bytes"),
+    ).first()
+    return found.n_rows <= max_rows and found.n_bytes <= max_bytes
 
 
 def join_lookup(
@@ -61,7 +63,7 @@ def join_lookup(
     )
     code = F.col(column)
     match = code.eqNullSafe(F.col(_CODE)) if null_safe else code == F.col(_CODE)
-    if literal or fits_broadcast(labels):
+    if literal or fits_broadcast(lookup.select(key, value)) or fits_broadcast(labels):
         return facts.join(F.broadcast(labels), match, "left").drop(_CODE)
     # Any code, null too, may be on a large part of the facts. The lookup is the
     # small side even here, so it is repeated once per salt, and the facts of

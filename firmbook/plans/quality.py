@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from firmbook.layout import EXPECTED_DATASETS
 from firmbook.operators.aggregates import duplicate_count, max_length, null_count
 from firmbook.operators.storage import MEGABYTE, dataset_bytes
 
@@ -44,7 +45,7 @@ def duplicate_keys(df: DataFrame, key: str = "cnpj_basico") -> DataFrame:
 
 
 def dataset_inventory(
-    spark: SparkSession, root: str, expected: Sequence[str]
+    spark: SparkSession, root: str, expected: Sequence[str] = EXPECTED_DATASETS
 ) -> DataFrame:
     """Expected datasets under ``root``: present or not, and their size."""
     wanted = spark.range(1).select(F.explode(F.array(*map(F.lit, expected))).alias("dataset"))

@@ -193,7 +193,7 @@ def src_lenient_csv(t):
 
 
 @query(
-    """select cnpj_basico, concat('São ', n_name) as municipio_descricao
+    """select cnpj_basico, 'São ' || n_name as municipio_descricao
        from establishments left join nation on municipio = lpad(cast(n_nationkey as string), 4, '0')""",
     "establishments",
 )
@@ -254,7 +254,7 @@ def sink_parquet(t):
 
 
 TYPED_COMPANIES = """
-       select substring(cnpj_basico, 1, 15) as cnpj_basico,
+       select substring(coalesce(cnpj_basico, ''), 1, 15) as cnpj_basico,
               substring(coalesce(razao_social, ''), 1, 200) as razao_social,
               natureza_juridica, qualificacao_responsavel,
               cast(case when capital_social = '' or capital_social is null then 0.0
@@ -435,7 +435,8 @@ def cast_date(t):
 
 
 TYPED_ESTABLISHMENTS = """
-       select substring(cnpj_basico || cnpj_ordem || cnpj_dv, 1, 14) as cnpj_completo, cnpj_basico,
+       select substring(coalesce(cnpj_basico || cnpj_ordem || cnpj_dv, ''), 1, 14) as cnpj_completo,
+              coalesce(cnpj_basico, '') as cnpj_basico,
               substring(nome_fantasia, 1, 200) as nome_fantasia, situacao_cadastral,
               cast(try_strptime(data_situacao_cadastral, '%Y%m%d') as date) as data_situacao_cadastral,
               cnae_fiscal_principal, logradouro, substring(numero, 1, 10) as numero, bairro, cep,
@@ -462,8 +463,9 @@ def varchar_conform(t):
               count(distinct n) as n_ids, count(distinct cnpj_cpf_socio) as n_partners
        from (select *, row_number() over () as n from partners)""",
     "partners",
+    name="surrogate_key",
 )
-def surrogate_key_dense(t):
+def dense_ids(t):
     return surrogate_key(t.partners, scratch(t.spark)).agg(
         F.count("*").alias("n_rows"),
         F.min("id").alias("first_id"),
@@ -811,16 +813,27 @@ def agg_rows_per_file(t):
     )
 
 
-@query()
+# DuckDB cannot see how many bytes Spark wrote, but that the figures agree with
+# each other is a row it can state.
+@query(
+    """select * from (values ('empresas', true, true), ('socios', true, true), (null, true, true))
+       as t(dataset, measured, saved_fits)"""
+)
 def agg_compression_ratio(t):
     root = scratch(t.spark)
     write_csv(t.companies, f"{root}/csv/empresas")
     write_csv(t.partners, f"{root}/csv/socios")
     write_parquet(t.companies, f"{root}/parquet/empresas")
     write_parquet(t.partners, f"{root}/parquet/socios")
-    return compression_ratio(
+    saved = compression_ratio(
         dataset_bytes(t.spark, f"{root}/csv"), dataset_bytes(t.spark, f"{root}/parquet")
     )
+    share = 100 - F.col("bytes_after") * 100 / F.col("bytes_before")
+    return saved.select(
+        "dataset",
+        ((F.col("bytes_before") > 0) & (F.col("bytes_after") > 0)).alias("measured"),
+        (F.abs(share - F.col("saved_percent")) < 0.1).alias("saved_fits"),
+    )
 
 
 # --- order and limits -------------------------------------------------------------
@@ -1017,10 +1030,17 @@ def dq_duplicate_keys(t):
 GIVEN = ("customer", "orders", "lineitem")
 
 
-@query()
+@query(
+    " union all ".join(
+        f"select '{name}.parquet' as dataset, count(*) > 0 as present, true as sized from {name}"
+        for name in GIVEN
+    )
+    + " union all select 'socios_final.parquet', false, false"
+)
 def dq_dataset_inventory(t):
     expected = [f"{name}.parquet" for name in (*GIVEN, "socios_final")]
-    return quality.dataset_inventory(t.spark, t.folder, expected)
+    found = quality.dataset_inventory(t.spark, t.folder, expected)
+    return found.select("dataset", "present", F.col("size_mb").isNotNull().alias("sized"))
 
 
 @query(
@@ -1037,9 +1057,16 @@ def dq_parquet_row_counts(t):
     return quality.row_counts({name: t.given(name) for name in GIVEN})
 
 
-@query()
+@query("select 'lineitem.parquet' as dataset, count(*) as n_rows, true as fits, true as fills from lineitem")
 def dq_partition_sizing(t):
-    return quality.partition_sizing(t.spark, t.folder, "lineitem.parquet")
+    sizing = quality.partition_sizing(t.spark, t.folder, "lineitem.parquet", target_mb=100)
+    rows, row_mb = F.col("rows_per_target"), F.col("mb_per_row")
+    return sizing.select(
+        "dataset",
+        "n_rows",
+        (rows * row_mb <= 100 * 1.000001).alias("fits"),
+        ((rows + 1) * row_mb > 100 * 0.999999).alias("fills"),
+    )
 
 
 # --- whole flows ------------------------------------------------------------------------

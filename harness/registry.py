@@ -43,7 +43,7 @@ _STATES = "ACALAPAMBACEDFESGOMAMTMSMGPAPBPRPEPIRJRNRSRORRSCSPSETO"
 
 COMPANY_COLUMNS = [
     ("cnpj_basico", *_base36("c_custkey", 8)),
-    ("razao_social", "concat('Comércio \"', c_name, '\"; Ltda')"),
+    ("razao_social", "'Comércio \"' || c_name || '\"; Ltda'"),
     ("natureza_juridica", *_digits("c_nationkey", 4)),
     ("qualificacao_responsavel", "nullif(lpad(cast(c_custkey % 80 as string), 2, '0'), '00')"),
     (
@@ -63,7 +63,7 @@ ESTABLISHMENT_COLUMNS = [
     ("cnpj_dv", *_digits("o_orderkey % 97", 2)),
     # Codes that reports filter on are the given ones, so the filter reaches the scan.
     ("identificador_matriz", "o_orderpriority"),
-    ("nome_fantasia", "case when o_orderstatus <> 'P' then concat('Loja São José ', cast(o_orderkey as string)) end"),
+    ("nome_fantasia", "case when o_orderstatus <> 'P' then 'Loja São José ' || cast(o_orderkey as string) end"),
     ("situacao_cadastral", "o_orderstatus"),
     (
         "data_situacao_cadastral",
@@ -75,7 +75,7 @@ ESTABLISHMENT_COLUMNS = [
     ("data_inicio_atividade", *_day("o_orderdate")),
     ("cnae_fiscal_principal", "nullif(lpad(cast(o_orderkey % 53 as string), 7, '0'), '0000000')"),
     ("tipo_logradouro", "'RUA'"),
-    ("logradouro", "concat('Rua da Glória ', o_orderpriority)"),
+    ("logradouro", "'Rua da Glória ' || o_orderpriority"),
     ("numero", "cast(o_orderkey as string)"),
     ("complemento", _NONE),
     ("bairro", "'CENTRO'"),
@@ -88,7 +88,7 @@ ESTABLISHMENT_COLUMNS = [
     ("telefone2", _NONE),
     ("dddfax", _NONE),
     ("fax", _NONE),
-    ("email", "concat('contato', cast(o_orderkey as string), '@exemplo.br')"),
+    ("email", "'contato' || cast(o_orderkey as string) || '@exemplo.br'"),
     ("situacao_especial", _NONE),
     ("data_situacao_especial", _NONE),
     ("cnae_fiscal_secundario", "'0000001,0000002'"),
@@ -97,7 +97,7 @@ ESTABLISHMENT_COLUMNS = [
 PARTNER_COLUMNS = [
     ("cnpj_basico", *_base36("l_partkey", 8)),
     ("identificador_socio", "l_returnflag"),
-    ("nome_socio", "concat('Sócio ', cast(l_suppkey as string))"),
+    ("nome_socio", "'Sócio ' || cast(l_suppkey as string)"),
     ("cnpj_cpf_socio", "case when l_linenumber < 7 then lpad(cast(l_suppkey as string), 14, '0') end"),
     ("qualificacao_socio", *_digits("cast(l_quantity as int)", 2)),
     ("data_entrada_sociedade", *_day("l_shipdate")),
@@ -125,20 +125,20 @@ _VIEWS = {
     "partners": ("lineitem", PARTNER_COLUMNS),
     "legal_natures": (
         "nation",
-        [("codigo", *_digits("n_nationkey", 4)), ("descricao", "concat('Natureza ', n_name)")],
+        [("codigo", *_digits("n_nationkey", 4)), ("descricao", "'Natureza ' || n_name")],
     ),
     "cities": (
         "nation",
-        [("codigo", *_digits("n_nationkey", 4)), ("descricao", "concat('São ', n_name)")],
+        [("codigo", *_digits("n_nationkey", 4)), ("descricao", "'São ' || n_name")],
     ),
     "countries": (
         "nation",
-        [("codigo", *_digits("n_nationkey", 3)), ("descricao", "concat('País ', n_name)")],
+        [("codigo", *_digits("n_nationkey", 3)), ("descricao", "'País ' || n_name")],
     ),
     # Has a row per part and so repeated codes: a lookup that grows with the data.
     "activities": (
         "part",
-        [("codigo", *_digits("p_size", 7)), ("descricao", "concat('Atividade ', p_name)")],
+        [("codigo", *_digits("p_size", 7)), ("descricao", "'Atividade ' || p_name")],
     ),
 }
 
