@@ -99,9 +99,11 @@ def csv_to_parquet(
     is passed over.
     """
     encodings = encodings or {}
-    # The names of the few folders there, nothing of their content.
-    found = {row.dataset for row in dataset_bytes(spark, csv_root).select("dataset").collect()}
-    for table, columns in (_LENIENT | _STRICT).items():
+    tables = _LENIENT | _STRICT
+    present = dataset_bytes(spark, csv_root).where(F.col("dataset").isin(*tables))
+    # At most one name for each of the three tables.
+    found = {row.dataset for row in present.select("dataset").collect()}
+    for table, columns in tables.items():
         if table not in found:
             continue
         source = {"path": f"{csv_root}/{table}", "columns": columns}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -103,13 +104,19 @@ def rows_per_file(df: DataFrame, total: bool = True) -> DataFrame:
     ``df`` must come straight from a file source.
     """
     files = df.select(F.col("_metadata.file_path").alias("file"))
-    grouped = files.rollup("file") if total else files.groupBy("file")
-    return grouped.agg(F.count("*").alias("n_rows"))
+    counted = files.groupBy("file").agg(F.count("*").alias("n_rows"))
+    if not total:
+        return counted
+    # The total adds up the counts, one row per file.
+    return counted.rollup("file").agg(F.sum("n_rows").alias("n_rows"))
 
 
 def _has_extra_fields(columns: Sequence[str], sep: str) -> Column:
     # The reader hands over the raw line of every row whose field count is off.
-    outside_quotes = F.regexp_replace(RAW_LINE, '"[^"]*"', "")
+    # A quote opens a field only at its start, ends at one that is not doubled,
+    # or else with the line.
+    quoted = rf'(^|{re.escape(sep)})"[^"]*+(?:""[^"]*+)*+(?:"|$)'
+    outside_quotes = F.regexp_replace(RAW_LINE, quoted, "$1")
     separators = F.length(outside_quotes) - F.length(
         F.replace(outside_quotes, F.lit(sep), F.lit(""))
     )

@@ -63,19 +63,9 @@ def test_corporate_groups(spark, made, limit, broadcast):
     assert [tuple(r) for r in got] == want
 
 
-def test_corporate_groups_split_a_hot_company(spark, tmp_path, plan):
-    """Both joins on the company key are split where one company holds most rows."""
-    partners = spark.range(400_000).selectExpr(
-        "case when id % 3 = 0 then '00000001' else lpad(id % 9000, 8, '0') end as cnpj_basico",
-        "'PESSOA JURÍDICA' as identificador_socio",
-        "concat('Sócio ', id % 150000) as nome_socio",
-        "lpad(id % 150000, 14, '0') as cnpj_cpf_socio",
-    )
-    companies = spark.range(9000).selectExpr(
-        "lpad(id, 8, '0') as cnpj_basico", "concat('Empresa ', id) as razao_social"
-    )
-    partners.write.parquet(str(tmp_path / "p"))
-    companies.write.parquet(str(tmp_path / "c"))
+@pytest.fixture
+def eager_skew_splitting(spark):
+    """Thresholds low enough for small tables to count as skewed."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -86,16 +76,39 @@ def test_corporate_groups_split_a_hot_company(spark, tmp_path, plan):
     }
     for key, value in settings.items():
         spark.conf.set(key, value)
-    try:
-        df = reports.corporate_groups(
-            spark.read.parquet(str(tmp_path / "p")), spark.read.parquet(str(tmp_path / "c"))
-        )
-        assert "SortMergeJoin(skew=true)" in plan(df, run=True)
-        assert df.count() == 100
-    finally:
-        for key in settings:
-            spark.conf.unset(key)
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+@pytest.mark.usefixtures("eager_skew_splitting")
+def test_hot_company_is_split(spark, tmp_path, plan):
+    """Joins on the company key are split where one company holds a third of the rows."""
+    spark.range(400_000).selectExpr(
+        "case when id % 3 = 0 then '00000001' else lpad(id % 9000, 8, '0') end as cnpj_basico",
+        "'PESSOA JURÍDICA' as identificador_socio",
+        "concat('Sócio ', id % 150000) as nome_socio",
+        "lpad(id % 150000, 14, '0') as cnpj_cpf_socio",
+        "'MATRIZ' as identificador_matriz",
+        "concat('U', id % 7) as uf",
+    ).write.parquet(str(tmp_path / "facts"))
+    spark.range(9000).selectExpr(
+        "lpad(id, 8, '0') as cnpj_basico",
+        "concat('Empresa ', id) as razao_social",
+        "concat('P', id % 3) as porte_empresa",
+        "'10,5' as capital_social",
+    ).write.parquet(str(tmp_path / "companies"))
+    facts = spark.read.parquet(str(tmp_path / "facts"))
+    companies = spark.read.parquet(str(tmp_path / "companies"))
+
+    groups = reports.corporate_groups(facts, companies)
+    assert "SortMergeJoin(skew=true)" in plan(groups, run=True)
+    assert groups.count() == 100
+
+    sized = reports.companies_by_size_and_state(facts, companies)
+    assert "SortMergeJoin(skew=true)" in plan(sized, run=True)
+    assert sum(r.quantidade for r in sized.collect()) == 400_000
 
 
 def test_listagg_spreads_one_group(spark):
@@ -181,6 +194,23 @@ def test_ids_are_dense_and_stable(spark, tmp_path):
     assert "BroadcastHashJoin" in plan and "hashpartitioning(k" not in plan
 
 
+def test_ids_in_split_files(spark, tmp_path):
+    """A file of many row groups, read by several tasks."""
+    path = str(tmp_path / "one")
+    spark.range(0, 40_000, 1, 1).selectExpr("id as k", "uuid() as t").write.option(
+        "parquet.block.size", 64 * 1024
+    ).parquet(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256KB")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1KB")
+    try:
+        numbered = number_rows(spark, path)
+        assert spark.read.parquet(path).rdd.getNumPartitions() > 2
+        assert numbered.where("id = k + 1").count() == 40_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_ids_without_broadcast(spark, tmp_path, monkeypatch):
     from firmbook.operators import keys
 
