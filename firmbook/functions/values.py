@@ -69,3 +69,8 @@ def conform_value(value: Column, kind: T.DataType, nullable: bool = True) -> Col
     if isinstance(kind, T.DateType):
         return value
     return value.try_cast(kind)
+
+
+def sql_text(text: str) -> str:
+    """``text`` as a literal within a SQL expression."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from firmbook.functions.values import sql_text
+
 _PART, _CHUNK = "_part", "_chunk"
 
 
@@ -40,7 +42,7 @@ def listagg_distinct(
         .withColumn(_PART, F.spark_partition_id())
         .groupBy(*keys, "_i", _PART)
         .agg(
-            F.expr(f"listagg(_v, {_quote(sep)}) within group (order by _v)").alias(_CHUNK),
+            F.expr(f"listagg(_v, {sql_text(sep)}) within group (order by _v)").alias(_CHUNK),
             F.count("_v").alias("_n"),
         )
     )
@@ -48,7 +50,7 @@ def listagg_distinct(
     for i, value in enumerate(values):
         mine = f"case when _i = {i} then {_CHUNK} end"
         columns += [
-            F.expr(f"listagg({mine}, {_quote(sep)}) within group (order by {_PART})").alias(value),
+            F.expr(f"listagg({mine}, {sql_text(sep)}) within group (order by {_PART})").alias(value),
             F.sum(F.when(F.col("_i") == i, F.col("_n")).otherwise(0)).alias(f"n_{value}"),
         ]
     return stretches.groupBy(*keys).agg(*columns)
@@ -66,7 +68,3 @@ def null_count(column: str) -> Column:
 def max_length(column: str) -> Column:
     """Length in characters of the longest text."""
     return F.max(F.char_length(column))
-
-
-def _quote(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

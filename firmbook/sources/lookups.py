@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from firmbook.functions.values import sql_text
 from firmbook.layout import COMPANY_SIZES, QUALIFICATIONS, STATUS_REASONS, text_schema
 from firmbook.sources.dumps import nullify_tokens
 
@@ -38,11 +39,8 @@ def read_lookup(
 
 def inline_lookup(spark: SparkSession, pairs: Iterable[tuple[str, str]]) -> DataFrame:
     """A few literal rows as a table."""
-    rows = [
-        F.struct(F.lit(code).alias("codigo"), F.lit(label).alias("descricao"))
-        for code, label in pairs
-    ]
-    return spark.range(1).select(F.inline(F.array(*rows)))
+    rows = ", ".join(f"({sql_text(code)}, {sql_text(label)})" for code, label in pairs)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(codigo, descricao)")
 
 
 def size_lookup(spark: SparkSession) -> DataFrame:

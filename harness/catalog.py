@@ -257,9 +257,7 @@ TYPED_COMPANIES = """
        select substring(coalesce(cnpj_basico, ''), 1, 15) as cnpj_basico,
               substring(coalesce(razao_social, ''), 1, 200) as razao_social,
               natureza_juridica, qualificacao_responsavel,
-              cast(case when capital_social = '' or capital_social is null then 0.0
-                   else cast(replace(capital_social, ',', '.') as double) end
-                   as decimal(15,2)) as capital_social,
+              coalesce(cast(replace(capital_social, ',', '.') as decimal(15,2)), 0) as capital_social,
               porte_empresa
        from companies"""
 
@@ -387,11 +385,11 @@ def parse_decimal_comma(t):
     return t.companies.select("cnpj_basico", decimal_comma("capital_social").alias("capital"))
 
 
-CAPITAL_OR_ZERO = """select cnpj_basico, case when capital_social = '' or capital_social is null then 0.0
-       else cast(replace(capital_social, ',', '.') as double) end as capital from companies"""
-
-
-@query(CAPITAL_OR_ZERO, "companies")
+@query(
+    """select cnpj_basico, ifnull(cast(replace(nullif(capital_social, ''), ',', '.') as double), 0) as capital
+       from companies""",
+    "companies",
+)
 def case_default(t):
     return t.companies.select("cnpj_basico", amount_or_zero("capital_social").alias("capital"))
 
@@ -752,8 +750,7 @@ def agg_listagg_distinct(t):
 
 
 @query(
-    """select cast(sum(case when cnpj_cpf_socio is null then 1 else 0 end) as bigint) as sem_id,
-              cast(sum(case when pais is null then 1 else 0 end) as bigint) as sem_pais
+    """select count(*) filter (cnpj_cpf_socio is null) as sem_id, count(*) filter (pais is null) as sem_pais
        from partners""",
     "partners",
 )
@@ -764,7 +761,9 @@ def agg_conditional_sum(t):
 
 
 @query(
-    "select count(*) - count(distinct cnpj_cpf_socio) as duplicatas from partners", "partners"
+    """select cast(sum(n - 1) + sum(case when k is null then 1 else 0 end) as bigint) as duplicatas
+       from (select cnpj_cpf_socio as k, count(*) as n from partners group by k)""",
+    "partners",
 )
 def agg_duplicate_count(t):
     return t.partners.agg(duplicate_count("cnpj_cpf_socio").alias("duplicatas"))
@@ -922,16 +921,22 @@ def stream_incremental_ingest(t):
 
 
 @query(
-    """select s.cnpj_cpf_socio as cnpj_controladora, s.nome_socio as nome_controladora,
-              count(distinct s.cnpj_basico) as qtd_empresas_controladas,
-              listagg(distinct e.razao_social, '; ' order by e.razao_social) as empresas_controladas,
-              listagg(distinct s.cnpj_basico, '; ' order by s.cnpj_basico) as cnpjs_controlados
-       from partners s join companies e on s.cnpj_basico = e.cnpj_basico
-       where s.identificador_socio = 'A'
-       group by s.cnpj_cpf_socio, s.nome_socio
-       having count(distinct s.cnpj_basico) >= 2
-       order by qtd_empresas_controladas desc, cnpj_controladora nulls first, nome_controladora
-       limit 100""",
+    """select id as cnpj_controladora, name as nome_controladora,
+              count(distinct company) as qtd_empresas_controladas,
+              listagg(distinct razao_social, '; ' order by razao_social) as empresas_controladas,
+              listagg(distinct company, '; ' order by company) as cnpjs_controlados
+       from (
+         with owned as (
+           select distinct cnpj_cpf_socio as id, nome_socio as name, cnpj_basico as company
+           from partners semi join companies using (cnpj_basico)
+           where identificador_socio = 'A'),
+         winners as (
+           select id, name, count(*) as n from owned group by id, name having n > 1
+           order by n desc, id nulls first, name nulls first limit 100)
+         select o.*, c.razao_social from owned o
+         semi join winners w on o.id is not distinct from w.id and o.name is not distinct from w.name
+         join companies c on o.company = c.cnpj_basico)
+       group by id, name""",
     "partners companies",
 )
 def q_corporate_groups(t):
@@ -939,13 +944,12 @@ def q_corporate_groups(t):
 
 
 @query(
-    """select est.uf, emp.porte_empresa, count(*) as quantidade,
-              round(avg(cast(replace(emp.capital_social, ',', '.') as double)), 2) as capital_medio
-       from establishments est
-       join companies emp on left(est.cnpj_basico || est.cnpj_ordem || est.cnpj_dv, 8) = emp.cnpj_basico
-       where est.identificador_matriz = '1-URGENT' and emp.porte_empresa != '00'
-         and emp.capital_social is not null
-       group by est.uf, emp.porte_empresa""",
+    """select uf, porte_empresa, count(*) as quantidade, round(avg(capital), 2) as capital_medio
+       from establishments join (select cnpj_basico, porte_empresa,
+                    cast(replace(capital_social, ',', '.') as double) as capital
+             from companies where capital_social is not null and porte_empresa <> '00')
+       using (cnpj_basico)
+       where identificador_matriz = '1-URGENT' group by all""",
     "establishments companies",
 )
 def q_companies_by_size_and_state(t):
@@ -955,12 +959,12 @@ def q_companies_by_size_and_state(t):
 
 
 @query(
-    """select cnae_fiscal_principal, count(*) as quantidade_empresas,
-              count(distinct left(cnpj_basico || cnpj_ordem || cnpj_dv, 8)) as quantidade_cnpjs_basicos
-       from establishments
-       where cnae_fiscal_principal is not null and situacao_cadastral = 'F'
-       group by cnae_fiscal_principal
-       order by quantidade_empresas desc, cnae_fiscal_principal limit 50""",
+    """select cnae_fiscal_principal, cast(sum(n) as bigint) as quantidade_empresas,
+              count(cnpj_basico) as quantidade_cnpjs_basicos
+       from (select cnae_fiscal_principal, cnpj_basico, count(*) as n from establishments
+             where situacao_cadastral = 'F' group by all)
+       where cnae_fiscal_principal is not null group by cnae_fiscal_principal
+       order by 2 desc, 1 limit 50""",
     "establishments",
 )
 def q_top_activities(t):
@@ -1003,12 +1007,10 @@ def q_count_by_size_filter(t):
 
 
 @query(
-    """unpivot (select cast(max(length(razao_social)) as int) as razao_social,
-              cast(max(length(natureza_juridica)) as int) as natureza_juridica,
-              cast(max(length(qualificacao_responsavel)) as int) as qualificacao_responsavel,
-              cast(max(length(porte_empresa)) as int) as porte_empresa from companies)
-       on razao_social, natureza_juridica, qualificacao_responsavel, porte_empresa
-       into name campo value max_len""",
+    " union all ".join(
+        f"select '{c}' as campo, cast(max(length({c})) as int) as max_len from companies"
+        for c in quality.WIDTH_COLUMNS
+    ),
     "companies",
 )
 def dq_field_widths(t):
@@ -1016,20 +1018,20 @@ def dq_field_widths(t):
 
 
 @query(
-    """select count(*) as total,
-              cast(sum(case when cnpj_basico is null then 1 else 0 end) as bigint) as cnpj_basico_null,
-              cast(sum(case when razao_social is null then 1 else 0 end) as bigint) as razao_social_null,
-              cast(sum(case when natureza_juridica is null then 1 else 0 end) as bigint) as natureza_juridica_null,
-              cast(sum(case when qualificacao_responsavel is null then 1 else 0 end) as bigint)
-              as qualificacao_responsavel_null
-       from companies""",
+    "select count(*) as total, "
+    + ", ".join(f"count(*) - count({c}) as {c}_null" for c in quality.NULL_COLUMNS)
+    + " from companies",
     "companies",
 )
 def dq_null_profile(t):
     return quality.null_profile(t.companies)
 
 
-@query("select count(*) - count(distinct cnpj_basico) as duplicatas from establishments", "establishments")
+@query(
+    """select cast(sum(n - 1) + sum(case when k is null then 1 else 0 end) as bigint) as duplicatas
+       from (select cnpj_basico as k, count(*) as n from establishments group by k)""",
+    "establishments",
+)
 def dq_duplicate_keys(t):
     return quality.duplicate_keys(t.establishments)
 

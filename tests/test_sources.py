@@ -12,6 +12,7 @@ from firmbook.layout import COMPANY_MEMBER, NULL_TOKENS
 from firmbook.sources.archives import unpack_zips
 from firmbook.sources.dumps import read_dump, rows_per_file
 from firmbook.sources.lookups import (
+    inline_lookup,
     qualification_lookup,
     read_lookup,
     reason_lookup,
@@ -201,6 +202,8 @@ def test_lookups(spark, dump, rows):
     for own, size in ((size_lookup, 4), (reason_lookup, 63), (qualification_lookup, 68)):
         lookup = own(spark)
         assert lookup.count() == lookup.select("codigo").distinct().count() == size
+    odd = [("'", "it's \\ \"quoted\""), ("\\'", "%s")]
+    assert rows(inline_lookup(spark, odd)) == sorted(odd, key=repr)
 
 
 @pytest.mark.parametrize(
