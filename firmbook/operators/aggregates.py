@@ -25,6 +25,21 @@ def listagg_distinct(
     group *and value*: a big group spreads over many tasks, each builds the
     text of its own stretch, and only these finished stretches meet in one row.
     """
+    stretches = _stretches(df, keys, values, sep)
+    columns: list[Column] = []
+    for i, value in enumerate(values):
+        mine = f"case when _i = {i} then {_CHUNK} end"
+        columns += [
+            F.expr(f"listagg({mine}, {sql_text(sep)}) within group (order by {_PART})").alias(value),
+            F.sum(F.when(F.col("_i") == i, F.col("_n")).otherwise(0)).alias(f"n_{value}"),
+        ]
+    return stretches.groupBy(*keys).agg(*columns)
+
+
+def _stretches(
+    df: DataFrame, keys: Sequence[str], values: Sequence[str], sep: str
+) -> DataFrame:
+    """Per group, value column and task: the ordered text of the values found there."""
     pairs = df.select(
         *keys,
         F.inline(
@@ -36,9 +51,8 @@ def listagg_distinct(
             )
         ),
     ).distinct()
-    order = [*keys, "_i", "_v"]
-    stretches = (
-        pairs.repartitionByRange(*order)
+    return (
+        pairs.repartitionByRange(*keys, "_i", "_v")
         .withColumn(_PART, F.spark_partition_id())
         .groupBy(*keys, "_i", _PART)
         .agg(
@@ -46,14 +60,6 @@ def listagg_distinct(
             F.count("_v").alias("_n"),
         )
     )
-    columns: list[Column] = []
-    for i, value in enumerate(values):
-        mine = f"case when _i = {i} then {_CHUNK} end"
-        columns += [
-            F.expr(f"listagg({mine}, {sql_text(sep)}) within group (order by {_PART})").alias(value),
-            F.sum(F.when(F.col("_i") == i, F.col("_n")).otherwise(0)).alias(f"n_{value}"),
-        ]
-    return stretches.groupBy(*keys).agg(*columns)
 
 
 def duplicate_count(key: str) -> Column:

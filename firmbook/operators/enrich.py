@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LABEL_SUFFIX = "_descricao"
@@ -15,7 +15,8 @@ BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 # Tasks that share the facts of one code when a lookup is beyond them.
 SALTS = 32
-_CODE, _SALT, _LOOKUP_SALT = "_lookup_code", "_salt", "_lookup_salt"
+_CODE, _LABEL = "_lookup_code", "_lookup_label"
+_SALT, _LOOKUP_SALT = "_salt", "_lookup_salt"
 
 
 def unique_codes(lookup: DataFrame, key: str = "codigo", value: str = "descricao") -> DataFrame:
@@ -27,18 +28,21 @@ def unique_codes(lookup: DataFrame, key: str = "codigo", value: str = "descricao
 
 
 def fits_broadcast(
-    texts: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> bool:
-    """Whether a table of texts is within the bounds for sending it to every executor.
+    *tables: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> list[bool]:
+    """Which tables of texts are within the bounds for sending them to every executor.
 
-    Runs a small job of partial counts; one row of two numbers comes back.
+    Runs one job of partial counts; a row of two numbers per table comes back.
     """
-    lengths = [F.coalesce(F.octet_length(c), F.lit(0)) for c in texts.columns]
-    found = texts.agg(
-        F.count("*").alias("n_rows"),
-        F.coalesce(F.sum(reduce(add, lengths)), F.lit(0)).alias("n_bytes"),
-    ).first()
-    return found.n_rows <= max_rows and found.n_bytes <= max_bytes
+    sizes = [
+        table.agg(
+            F.count("*").alias("n_rows"),
+            F.coalesce(F.sum(_octets(table)), F.lit(0)).alias("n_bytes"),
+        ).withColumn("place", F.lit(place))
+        for place, table in enumerate(tables)
+    ]
+    found = sorted(reduce(DataFrame.unionByName, sizes).collect(), key=lambda r: r.place)
+    return [size.n_rows <= max_rows and size.n_bytes <= max_bytes for size in found]
 
 
 def join_lookup(
@@ -58,12 +62,37 @@ def join_lookup(
     within bounds it is broadcast, beyond them joined by a salted shuffle. With
     ``null_safe`` a null code finds a lookup row with a null code.
     """
-    labels = (lookup if literal else unique_codes(lookup, key, value)).select(
-        F.col(key).alias(_CODE), F.col(value).alias(name or column + LABEL_SUFFIX)
-    )
+    pairs = lookup.select(F.col(key).alias(_CODE), F.col(value).alias(_LABEL))
+    small = literal or fits_broadcast(pairs)[0]
+    labels = pairs if literal else unique_codes(pairs, _CODE, _LABEL)
+    return _attach(facts, column, labels, small, name or column + LABEL_SUFFIX, null_safe)
+
+
+def join_lookups(
+    facts: DataFrame, lookups: Mapping[str, DataFrame], null_safe: bool = False
+) -> DataFrame:
+    """Join several lookups one after the other, given by the column they explain.
+
+    As :func:`join_lookup` for each, with one job to check all their sizes.
+    """
+    pairs = [
+        lookup.select(F.col("codigo").alias(_CODE), F.col("descricao").alias(_LABEL))
+        for lookup in lookups.values()
+    ]
+    for column, pair, small in zip(lookups, pairs, fits_broadcast(*pairs)):
+        labels = unique_codes(pair, _CODE, _LABEL)
+        facts = _attach(facts, column, labels, small, column + LABEL_SUFFIX, null_safe)
+    return facts
+
+
+def _attach(
+    facts: DataFrame, column: str, labels: DataFrame, small: bool, name: str, null_safe: bool
+) -> DataFrame:
+    labels = labels.withColumnRenamed(_LABEL, name)
     code = F.col(column)
     match = code.eqNullSafe(F.col(_CODE)) if null_safe else code == F.col(_CODE)
-    if literal or fits_broadcast(lookup.select(key, value)) or fits_broadcast(labels):
+    # A lookup that is large only by repeated codes is small once they are single.
+    if small or fits_broadcast(labels)[0]:
         return facts.join(F.broadcast(labels), match, "left").drop(_CODE)
     # Any code, null too, may be on a large part of the facts. The lookup is the
     # small side even here, so it is repeated once per salt, and the facts of
@@ -78,13 +107,8 @@ def join_lookup(
     ).drop(_CODE, _SALT, _LOOKUP_SALT)
 
 
-def join_lookups(
-    facts: DataFrame, lookups: Mapping[str, DataFrame], null_safe: bool = False
-) -> DataFrame:
-    """Join several lookups one after the other, given by the column they explain."""
-    for column, lookup in lookups.items():
-        facts = join_lookup(facts, column, lookup, null_safe=null_safe)
-    return facts
+def _octets(table: DataFrame) -> Column:
+    return reduce(add, (F.coalesce(F.octet_length(c), F.lit(0)) for c in table.columns))
 
 
 def decode_codes(facts: DataFrame, domain: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -29,7 +29,7 @@ def lookup(spark):
 def test_salted_join_equals_broadcast_join(facts, lookup, rows, plan, monkeypatch, null_safe):
     small = join_lookup(facts, "code", lookup, null_safe=null_safe)
     assert "BroadcastHashJoin" in plan(small)
-    monkeypatch.setattr(enrich, "fits_broadcast", lambda df: False)
+    monkeypatch.setattr(enrich, "fits_broadcast", lambda *tables: [False] * len(tables))
     big = join_lookup(facts, "code", lookup, null_safe=null_safe)
     assert "explode" in plan(big)
     assert big.columns == small.columns == ["id", "code", "code_descricao"]
@@ -40,7 +40,7 @@ def test_salted_join_equals_broadcast_join(facts, lookup, rows, plan, monkeypatc
 
 
 def test_salted_join_spreads_a_hot_code(spark, facts, lookup, monkeypatch):
-    monkeypatch.setattr(enrich, "fits_broadcast", lambda df: False)
+    monkeypatch.setattr(enrich, "fits_broadcast", lambda *tables: [False] * len(tables))
     monkeypatch.setattr(enrich, "SALTS", 8)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
@@ -57,12 +57,21 @@ def test_salted_join_spreads_a_hot_code(spark, facts, lookup, monkeypatch):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
-def test_size_check(spark, lookup):
-    assert fits_broadcast(lookup)
-    assert not fits_broadcast(lookup, max_rows=31)
-    assert fits_broadcast(lookup, max_rows=32)
-    assert not fits_broadcast(lookup, max_bytes=100)
-    assert fits_broadcast(lookup.limit(0))
+def test_size_check(lookup):
+    assert fits_broadcast(lookup, lookup.limit(0)) == [True, True]
+    assert fits_broadcast(lookup, lookup.limit(31), max_rows=31) == [False, True]
+    assert fits_broadcast(lookup.limit(1), lookup, max_bytes=100) == [True, False]
+
+
+def test_lookup_large_by_copies_only(spark, facts, rows, plan, monkeypatch):
+    copies = spark.createDataFrame([("hot", "Quente")] * 500, "codigo string, descricao string")
+    monkeypatch.setattr(enrich.fits_broadcast, "__kwdefaults__", {"max_rows": 100, "max_bytes": 10**6})
+    joined = join_lookup(facts, "code", copies)
+    assert "BroadcastHashJoin" in plan(joined) and "explode" not in plan(joined)
+    assert joined.count() == facts.count()
+    both = enrich.join_lookups(facts.withColumn("other", F.col("code")), {"code": copies, "other": copies})
+    assert both.count() == facts.count()
+    assert both.where("code_descricao = 'Quente' and other_descricao = 'Quente'").count() == 1005
 
 
 def test_repeated_codes_do_not_multiply(spark, facts, rows):
