@@ -29,19 +29,25 @@ from firmbook.sources.lookups import qualification_lookup, reason_lookup, size_l
 from firmbook.sources.tables import read_lenient_csv, read_table, read_table_csv
 
 
-def ingest_companies(spark: SparkSession, paths, target: str, **options) -> DataFrame:
-    """Store company dumps as Parquet; ``options`` are those of ``read_dump``."""
-    return _ingest(spark, paths, COMPANIES, target, options)
+def ingest_companies(
+    spark: SparkSession, paths, target: str, month: str | None = None, **options
+) -> DataFrame:
+    """Store company dumps as Parquet, see :func:`_ingest`."""
+    return _ingest(spark, paths, COMPANIES, target, month, options)
 
 
-def ingest_establishments(spark: SparkSession, paths, target: str, **options) -> DataFrame:
-    """Store establishment dumps as Parquet; ``options`` are those of ``read_dump``."""
-    return _ingest(spark, paths, ESTABLISHMENTS, target, options)
+def ingest_establishments(
+    spark: SparkSession, paths, target: str, month: str | None = None, **options
+) -> DataFrame:
+    """Store establishment dumps as Parquet, see :func:`_ingest`."""
+    return _ingest(spark, paths, ESTABLISHMENTS, target, month, options)
 
 
-def ingest_partners(spark: SparkSession, paths, target: str, **options) -> DataFrame:
-    """Store partner dumps as Parquet; ``options`` are those of ``read_dump``."""
-    return _ingest(spark, paths, PARTNERS, target, options)
+def ingest_partners(
+    spark: SparkSession, paths, target: str, month: str | None = None, **options
+) -> DataFrame:
+    """Store partner dumps as Parquet, see :func:`_ingest`."""
+    return _ingest(spark, paths, PARTNERS, target, month, options)
 
 
 def enrich_companies(
@@ -157,6 +163,15 @@ def load_establishments(establishments: DataFrame, limit: int | None = None) ->
     )
 
 
-def _ingest(spark: SparkSession, paths, columns, target: str, options) -> DataFrame:
-    write_parquet(read_dump(spark, paths, columns, **options), target)
+def _ingest(
+    spark: SparkSession, paths, columns, target: str, month: str | None, options
+) -> DataFrame:
+    """Read dumps (``options`` are those of ``read_dump``), store them, return the table.
+
+    With ``month`` (``yyyy-MM``) the table is partitioned by ``mes`` and only
+    this month is replaced, for ``latest_snapshot`` to choose from. The dump is
+    written straight into the partition: nothing is shuffled.
+    """
+    place = target if month is None else f"{target}/mes={month}"
+    write_parquet(read_dump(spark, paths, columns, **options), place)
     return read_table(spark, target)

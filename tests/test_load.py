@@ -24,6 +24,7 @@ from firmbook.operators.sinks import (
 from firmbook.operators.storage import compression_ratio, dataset_bytes
 from firmbook.plans import flows, quality
 from firmbook.sources.databases import read_jdbc
+from firmbook.sources.snapshots import latest_snapshot
 from firmbook.sources.tables import read_table_csv
 from firmbook.streaming.ingest import incremental_ingest
 from harness.landing import land_dump
@@ -197,6 +198,26 @@ def test_incremental_ingest(spark, tmp_path):
     assert spark.read.parquet(target).where("pais is not null").count() == 0
 
 
+def test_monthly_ingest(spark, tmp_path):
+    target = str(tmp_path / "table")
+
+    def land(month, size):
+        rows = table(spark, COMPANIES, *({"cnpj_basico": f"{i:08d}"} for i in range(size)))
+        path = land_dump(rows, str(tmp_path / f"dump-{month}-{size}"))
+        return flows.ingest_companies(spark, path, target, month=month)
+
+    land("2024-02", 3)
+    land("2024-03", 5)
+    stored = land("2024-02", 4)  # again: replaces that month only
+    assert dict(stored.dtypes)["mes"] == "string"
+    assert {r.mes: r["count"] for r in stored.groupBy("mes").count().collect()} == {
+        "2024-02": 4,
+        "2024-03": 5,
+    }
+    assert latest_snapshot(stored, "mes", datetime.date(2024, 2, 28)).count() == 4
+    assert latest_snapshot(stored, "mes", datetime.date(2024, 9, 1)).count() == 5
+
+
 class Recorder:
     """Stands in for a reader or writer and notes what it is told."""
 
