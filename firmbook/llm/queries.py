@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmbook.llm import jaccard, sharding, substrings, topk
+from firmbook.llm import jaccard, licences, sharding, substrings, topk
 
 QUERIES, ORACLE = {}, {}
 
@@ -34,6 +34,12 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place_rows(table(spark, sf_dir, "documents"))
 
 
+@registered
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(table(spark, sf_dir, "documents"))
+    return found.select(*[c for c in found.columns if c != "detections"])
+
+
 @registered
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
