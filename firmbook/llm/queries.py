@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmbook.llm import jaccard, licences, sharding, substrings, topk
+from firmbook.llm import decontamination, jaccard, licences, packing, quality, sharding, substrings, topk, toxicity
 
 QUERIES, ORACLE = {}, {}
 
@@ -19,11 +19,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@registered
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @registered
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@registered
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @registered
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.removed_intervals(table(spark, sf_dir, "documents"))
@@ -34,6 +44,11 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place_rows(table(spark, sf_dir, "documents"))
 
 
+@registered
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @registered
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licences.scan(table(spark, sf_dir, "documents"))
@@ -46,6 +61,11 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0))
 
 
+@registered
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 ORACLE["op9_exact_top_k"] = """
 with whole as (
   select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as v
