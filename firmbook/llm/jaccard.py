@@ -432,3 +432,10 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
         "doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.col("rep").alias("representative")
     )
     return together.unionByName(alone)
+
+
+def one_of_each(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """`docs` with one document of each component, the one with the smallest id. Rows without an id stay."""
+    found = near_duplicates(docs, size)
+    later = found.where("component_id <> doc_id").select(F.col("doc_id").alias("_later")).distinct()
+    return docs.join(later, docs["doc_id"] == later["_later"], "left_anti")

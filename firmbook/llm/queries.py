@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmbook.llm import decontamination, jaccard, licences, packing, quality, sharding, substrings, topk, toxicity
+from firmbook.llm import decontamination, html, jaccard, licences, packing, quality, sharding, substrings, topk, toxicity
 
 QUERIES, ORACLE = {}, {}
 
@@ -24,6 +24,11 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@registered
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 @registered
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
