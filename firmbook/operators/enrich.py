@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import add
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,10 +14,8 @@ LABEL_SUFFIX = "_descricao"
 # A lookup within both bounds is broadcast.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
-# Tasks that share the facts of one code when a lookup is beyond them.
-SALTS = 32
 _CODE, _LABEL = "_lookup_code", "_lookup_label"
-_SALT, _LOOKUP_SALT = "_salt", "_lookup_salt"
+_HOT = "_hot_code"
 
 
 def unique_codes(lookup: DataFrame, key: str = "codigo", value: str = "descricao") -> DataFrame:
@@ -54,18 +53,22 @@ def join_lookup(
     name: str | None = None,
     null_safe: bool = False,
     literal: bool = False,
+    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Left join a lookup; the label lands in ``<column>_descricao`` (or ``name``).
 
     Every fact row stays and stays single. The size of the lookup is checked by
     a small job (not for a ``literal`` one, a few rows without repeated codes):
-    within bounds it is broadcast, beyond them joined by a salted shuffle. With
-    ``null_safe`` a null code finds a lookup row with a null code.
+    within ``max_rows`` and ``max_bytes`` it is broadcast, beyond them joined by
+    a shuffle that spares null and hot codes. With ``null_safe`` a null code
+    finds a lookup row with a null code.
     """
     pairs = lookup.select(F.col(key).alias(_CODE), F.col(value).alias(_LABEL))
-    small = literal or fits_broadcast(pairs)[0]
+    bounds = {"max_rows": max_rows, "max_bytes": max_bytes}
+    small = literal or fits_broadcast(pairs, **bounds)[0]
     labels = pairs if literal else unique_codes(pairs, _CODE, _LABEL)
-    return _attach(facts, column, labels, small, name or column + LABEL_SUFFIX, null_safe)
+    return _attach(facts, column, labels, small, name or column + LABEL_SUFFIX, null_safe, bounds)
 
 
 def join_lookups(
@@ -86,25 +89,37 @@ def join_lookups(
 
 
 def _attach(
-    facts: DataFrame, column: str, labels: DataFrame, small: bool, name: str, null_safe: bool
+    facts: DataFrame,
+    column: str,
+    labels: DataFrame,
+    small: bool,
+    name: str,
+    null_safe: bool,
+    bounds: Mapping[str, int] | None = None,
 ) -> DataFrame:
     labels = labels.withColumnRenamed(_LABEL, name)
     code = F.col(column)
     match = code.eqNullSafe(F.col(_CODE)) if null_safe else code == F.col(_CODE)
+    if small:
+        return facts.join(F.broadcast(labels), match, "left").drop(_CODE)
+    # Made single once, for its size and for the join.
+    labels = labels.persist(StorageLevel.DISK_ONLY)
     # A lookup that is large only by repeated codes is small once they are single.
-    if small or fits_broadcast(labels)[0]:
+    if fits_broadcast(labels, **(bounds or {}))[0]:
         return facts.join(F.broadcast(labels), match, "left").drop(_CODE)
-    # Any code, null too, may be on a large part of the facts. The lookup is the
-    # small side even here, so it is repeated once per salt, and the facts of
-    # one code spread over that many tasks. The salt goes by the task that reads
-    # a row, so a task run again gives the same.
-    salted = facts.withColumn(_SALT, F.spark_partition_id() % SALTS)
-    repeated = labels.withColumn(
-        _LOOKUP_SALT, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    )
-    return salted.join(
-        repeated, match & (F.col(_SALT) == F.col(_LOOKUP_SALT)), "left"
-    ).drop(_CODE, _SALT, _LOOKUP_SALT)
+    # Any code, null too, may be on a large part of the facts. Such rows are not
+    # shuffled: the labels of codes on more than an even task's share of the facts,
+    # fewer than there are tasks, are sent to the rows where they are.
+    tasks = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = facts.where(code.isNotNull()).groupBy(code.alias(_HOT)).agg(F.count("*").alias("n"))
+    share = F.lit(facts.agg(F.count("*")).scalar()) / tasks
+    hot = [row[_HOT] for row in counts.where(F.col("n") > share).select(_HOT).collect()]
+    spread = code.isNull() | code.isin(hot) if hot else code.isNull()
+    stay, go = facts.where(spread), facts.where(~spread)
+    chosen = F.col(_CODE).isin(hot) if hot else F.lit(False)
+    near = labels.where(chosen | F.col(_CODE).isNull() if null_safe else chosen)
+    stayed = stay.join(F.broadcast(near), match, "left").drop(_CODE)
+    return stayed.unionByName(go.join(labels, code == F.col(_CODE), "left").drop(_CODE))
 
 
 def _octets(table: DataFrame) -> Column:

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Up to this many files their offsets (some 150 bytes each) go to every executor.
-BROADCAST_FILES = 100_000
+from firmbook.operators.enrich import fits_broadcast
+
+# The offsets of the files, some 150 bytes each, go to every executor within this bound.
+BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 def number_rows(spark: SparkSession, path: str, name: str = "id") -> DataFrame:
@@ -28,7 +30,8 @@ def number_rows(spark: SparkSession, path: str, name: str = "id") -> DataFrame:
         "_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
     )
     table = spark.read.parquet(path)
-    if len(table.inputFiles()) <= BROADCAST_FILES:
+    names = files.select("_file")
+    if fits_broadcast(names, max_rows=BROADCAST_BYTES // 150, max_bytes=BROADCAST_BYTES)[0]:
         offsets = F.broadcast(offsets)
     placed = table.select(
         "*",

@@ -11,9 +11,16 @@ from pyspark.sql import types as T
 def write_csv(df: DataFrame, path: str, sep: str = ";") -> None:
     """Write CSV with header in UTF-8, replacing what was there.
 
-    The result is a folder of part files, each with the header.
+    The result is a folder of part files, each with the header. Blanks are kept;
+    texts with line breaks come back whole when read with ``multi_line``.
     """
-    df.write.mode("overwrite").options(header=True, sep=sep, escape='"').csv(path)
+    df.write.mode("overwrite").options(
+        header=True,
+        sep=sep,
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    ).csv(path)
 
 
 def write_parquet(
@@ -47,11 +54,13 @@ def save_table(
     location: str | None = None,
     bucket_by: str | None = None,
     buckets: int = 64,
+    files_per_bucket: int = 1,
 ) -> None:
     """Create the declared table if it is absent, and append ``df`` to it.
 
     Bucketing on the join key takes the place of an index: joins and groupings
-    on it read the buckets side by side without a shuffle.
+    on it read the buckets side by side without a shuffle. An append adds at
+    most ``files_per_bucket`` files to each bucket.
     """
     present = [field for field in table.fields if field.name in df.columns]
     columns = ", ".join(
@@ -65,7 +74,8 @@ def save_table(
     df.sparkSession.sql(ddl)
     rows = df.select(*(field.name for field in present))
     if bucket_by:
-        rows = rows.hint("rebalance", bucket_by)
+        # A task's rows all belong to one bucket, as its number is a multiple of theirs.
+        rows = rows.repartition(files_per_bucket * buckets, bucket_by)
     rows.write.insertInto(name)
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from firmbook.functions.values import (
     amount_or_zero,
-    clip_text,
     compact_date,
     establishment_key,
 )
@@ -23,7 +22,7 @@ from firmbook.layout import (
 from firmbook.operators.conform import conform
 from firmbook.operators.enrich import join_lookup, join_lookups
 from firmbook.operators.sinks import write_parquet
-from firmbook.operators.storage import compression_ratio, dataset_bytes
+from firmbook.operators.storage import compression_ratio, dataset_bytes, dataset_names
 from firmbook.sources.dumps import read_dump
 from firmbook.sources.lookups import qualification_lookup, reason_lookup, size_lookup
 from firmbook.sources.tables import read_lenient_csv, read_table, read_table_csv
@@ -88,9 +87,9 @@ def _join_own(facts: DataFrame, column: str, given: DataFrame | None, own) -> Da
     return join_lookup(facts, column, given)
 
 
-# The two tables whose files are known to hold uneven rows, and the one that does not.
-_LENIENT = {"empresas": COMPANIES, "socios": PARTNERS}
-_STRICT = {"estabelecimentos": ESTABLISHMENTS}
+# The tables whose files are known to hold uneven rows, and the one that does not.
+_LENIENT = ("empresas", "socios")
+_STRICT = ("estabelecimentos",)
 
 
 def csv_to_parquet(
@@ -98,21 +97,21 @@ def csv_to_parquet(
     csv_root: str,
     parquet_root: str,
     encodings: Mapping[str, str] | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Convert the CSV tables ``<root>/<table>`` to Parquet; return the bytes saved.
 
-    Tables: ``empresas``, ``estabelecimentos``, ``socios``. One that is absent
-    is passed over.
+    Tables: ``empresas``, ``estabelecimentos``, ``socios``, plain or enriched:
+    the columns are those of the files' header, all as text. Files of one table
+    must agree in it. Of the first and last, rows longer than the header are
+    dropped. A table that is absent is passed over.
     """
     encodings = encodings or {}
-    tables = _LENIENT | _STRICT
-    present = dataset_bytes(spark, csv_root).where(F.col("dataset").isin(*tables))
-    # At most one name for each of the three tables.
-    found = {row.dataset for row in present.select("dataset").collect()}
-    for table, columns in tables.items():
-        if table not in found:
+    present = dataset_names(spark, csv_root)
+    for table in (*_LENIENT, *_STRICT):
+        if table not in present:
             continue
-        source = {"path": f"{csv_root}/{table}", "columns": columns}
+        source = {"path": f"{csv_root}/{table}", "multi_line": multi_line}
         source["encoding"] = encodings.get(table, "UTF-8")
         if table in _LENIENT:
             df = read_lenient_csv(spark, **source)
@@ -124,13 +123,12 @@ def csv_to_parquet(
     )
 
 
-def load_companies(companies: DataFrame, limit: int | None = None) -> DataFrame:
+def load_companies(companies: DataFrame) -> DataFrame:
     """The typed company table as the database takes it (its id is given there)."""
-    rows = companies if limit is None else companies.limit(limit)
     return conform(
-        rows.select(
+        companies.select(
             "cnpj_basico",
-            clip_text("razao_social", 255).alias("razao_social"),
+            F.coalesce("razao_social", F.lit("")).alias("razao_social"),
             "natureza_juridica",
             "qualificacao_responsavel",
             amount_or_zero("capital_social").alias("capital_social"),
@@ -140,11 +138,10 @@ def load_companies(companies: DataFrame, limit: int | None = None) -> DataFrame:
     )
 
 
-def load_establishments(establishments: DataFrame, limit: int | None = None) -> DataFrame:
+def load_establishments(establishments: DataFrame) -> DataFrame:
     """The typed establishment table as the database takes it (its id is given there)."""
-    rows = establishments if limit is None else establishments.limit(limit)
     return conform(
-        rows.select(
+        establishments.select(
             establishment_key().alias("cnpj_completo"),
             "cnpj_basico",
             "nome_fantasia",
@@ -170,7 +167,9 @@ def _ingest(
 
     With ``month`` (``yyyy-MM``) the table is partitioned by ``mes`` and only
     this month is replaced, for ``latest_snapshot`` to choose from. The dump is
-    written straight into the partition: nothing is shuffled.
+    written straight into the partition: nothing is shuffled. With the option
+    ``file_column`` the table keeps the file of each row, and ``rows_per_file``
+    on that column tells how many rows of each file were kept.
     """
     place = target if month is None else f"{target}/mes={month}"
     write_parquet(read_dump(spark, paths, columns, **options), place)

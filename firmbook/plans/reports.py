@@ -10,7 +10,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firmbook.functions.values import company_key, decimal_comma, round_places
-from firmbook.layout import ACTIVE, HEAD_OFFICE, LEGAL_PERSON, MICRO_COMPANY, SIZE_UNKNOWN
+from firmbook.layout import (
+    ACTIVE,
+    COMPANY_SIZES,
+    HEAD_OFFICE,
+    LEGAL_PERSON,
+    MICRO_COMPANY,
+    SIZE_UNKNOWN,
+)
 from firmbook.operators.aggregates import listagg_distinct
 
 # A report up to this many groups long is sent to every executor.
@@ -28,18 +35,16 @@ def corporate_groups(
 
     Names and ids of the companies are each listed sorted, so their positions
     do not match. The winners are found first, by counting alone; texts are
-    built for no one else. Ownership is made distinct before anything is
-    grouped, so a controller with a large part of all rows is counted from
-    partial counts.
+    built for no one else. Ownership is made distinct before it is counted, so
+    a controller with a large part of all rows is counted from partial counts.
     """
     owner = ["cnpj_cpf_socio", "nome_socio"]
-    owned = (
-        partners.where(F.col("identificador_socio") == legal_person)
-        .select(*owner, "cnpj_basico")
-        .distinct()
+    owned = partners.where(F.col("identificador_socio") == legal_person).select(
+        *owner, "cnpj_basico"
     )
     winners = (
-        owned.join(companies.select("cnpj_basico"), "cnpj_basico", "left_semi")
+        owned.distinct()
+        .join(companies.select("cnpj_basico"), "cnpj_basico", "left_semi")
         .groupBy(*owner)
         .agg(F.count("*").alias("n"))
         .where(F.col("n") >= min_companies)
@@ -137,10 +142,19 @@ def total_count(table: DataFrame) -> DataFrame:
 def count_by_size(
     companies: DataFrame, size: str = MICRO_COMPANY, size_column: str = "porte_empresa"
 ) -> DataFrame:
-    """Rows of one company size."""
+    """Rows of one company size.
+
+    On a table that holds codes, pass ``size_code(label)``: the filter then
+    reaches the scan, as no lookup stands between.
+    """
     return total_count(companies.where(F.col(size_column) == size))
 
 
+def size_code(label: str) -> str:
+    """The code of a company size."""
+    return next(code for code, own in COMPANY_SIZES if own == label)
+
+
 def _company_of(establishments: DataFrame) -> Column:
     # The plain column keeps bucketing and statistics usable; the id prefix
     # serves tables that carry only the full id.

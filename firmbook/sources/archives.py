@@ -18,13 +18,36 @@ def unpack_zips(
     their size, and a member is streamed in blocks, so memory does not grow
     with it. The name of a written file follows from archive and content, and
     a file appears under it only when whole: a retried, doubled or repeated
-    task finds it there and goes on.
+    task finds it there and goes on. Both places are resolved as Spark resolves
+    them, before any task starts; one in a store that the tasks cannot open is
+    refused there.
     """
+    out_dir = qualified(spark, out_dir)
+    _refuse_unknown(out_dir)
+    for path in [paths] if isinstance(paths, str) else paths:
+        _refuse_unknown(qualified(spark, path))
     # Only path and length are selected: no content is read by the scan.
     archives = spark.read.format("binaryFile").load(paths).select("path", "length")
     return archives.mapInPandas(_unpacker(suffix, out_dir), UNPACKED)
 
 
+# Stores that tasks open, by scheme; s3a and s3n are s3 there.
+SCHEMES = ("file", "hdfs", "viewfs", "s3", "s3a", "s3n", "gs", "gcs", "abfs", "abfss")
+
+
+def qualified(spark: SparkSession, location: str) -> str:
+    """A location with its scheme, as Spark's own file system completes it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(path).toString()
+
+
+def _refuse_unknown(location: str) -> None:
+    scheme = location.partition(":")[0]
+    if scheme not in SCHEMES:
+        raise ValueError(f"archives cannot be unpacked from or to a {scheme}: location")
+
+
 def _unpacker(suffix: str, out_dir: str):
     """The per-task function, complete in itself so that executors need no package."""
 
@@ -37,14 +60,12 @@ def _unpacker(suffix: str, out_dir: str):
         import pandas as pd
         from pyarrow import fs
 
-        def resolve(location, like=None):
-            scheme, colon, rest = location.partition(":")
-            if colon and scheme == "file":
+        def resolve(location):
+            scheme, _, rest = location.partition(":")
+            if scheme == "file":
                 return fs.LocalFileSystem(), "/" + rest.lstrip("/")
-            if colon and rest.startswith("//"):
-                scheme = "s3" if scheme in ("s3a", "s3n") else scheme
-                return fs.FileSystem.from_uri(f"{scheme}:{rest}")
-            return (like or fs.LocalFileSystem()), location
+            scheme = "s3" if scheme in ("s3a", "s3n") else scheme
+            return fs.FileSystem.from_uri(f"{scheme}:{rest}")
 
         def is_whole(store, target, info):
             return store.get_file_info(target).size == info.file_size
@@ -65,7 +86,7 @@ def _unpacker(suffix: str, out_dir: str):
             for archive in batch["path"]:
                 rows = []
                 store, name = resolve(archive)
-                out_store, folder = resolve(out_dir, store)
+                out_store, folder = resolve(out_dir)
                 out_store.create_dir(folder, recursive=True)
                 mark = hashlib.sha256(archive.encode()).hexdigest()[:12]
                 try:

@@ -49,10 +49,11 @@ def tidy_dump(
     columns: Sequence[str],
     sep: str = DUMP_SEPARATOR,
     null_tokens: Sequence[str] = NULL_TOKENS,
+    others: Sequence[str] = (),
 ) -> DataFrame:
     """Drop rows with too many fields, keep short ones, turn null tokens into null."""
     kept = raw.where(~_has_extra_fields(columns, sep))
-    return nullify_tokens(kept.select(*columns), null_tokens)
+    return nullify_tokens(kept.select(*columns, *others), null_tokens, columns)
 
 
 def read_dump(
@@ -64,19 +65,25 @@ def read_dump(
     null_tokens: Sequence[str] = NULL_TOKENS,
     skip_failed_files: bool = False,
     multi_line: bool = False,
+    file_column: str | None = None,
 ) -> DataFrame:
     """Read one or many headerless dump files (paths or globs) as one all-text table.
 
     Columns are named by position. Rows with more fields than ``columns`` are
     dropped, rows with fewer are filled up with null. With
-    ``skip_failed_files`` an unreadable file is passed over.
+    ``skip_failed_files`` an unreadable file is passed over. ``file_column``
+    adds the file a row came from, for :func:`rows_per_file` to count by once
+    the table is stored, without parsing the dump again.
     """
     raw = (
         spark.read.schema(dump_schema(columns))
         .options(**dump_options(sep, encoding, multi_line, skip_failed_files))
         .csv([paths] if isinstance(paths, str) else list(paths))
     )
-    return tidy_dump(raw, columns, sep, null_tokens)
+    if file_column is None:
+        return tidy_dump(raw, columns, sep, null_tokens)
+    named = raw.withColumn(file_column, F.col("_metadata.file_path"))
+    return tidy_dump(named, columns, sep, null_tokens, others=[file_column])
 
 
 def nullify_tokens(
@@ -98,12 +105,15 @@ def nullify_tokens(
     )
 
 
-def rows_per_file(df: DataFrame, total: bool = True) -> DataFrame:
-    """Rows read from each input file; the row whose ``file`` is null is the total.
+def rows_per_file(
+    df: DataFrame, total: bool = True, file_column: str = "_metadata.file_path"
+) -> DataFrame:
+    """Rows of each input file; the row whose ``file`` is null is the total.
 
-    ``df`` must come straight from a file source.
+    On a dump read by :func:`read_dump` these are the rows kept. On a stored
+    table name the column that was written with ``file_column``.
     """
-    files = df.select(F.col("_metadata.file_path").alias("file"))
+    files = df.select(F.col(file_column).alias("file"))
     counted = files.groupBy("file").agg(F.count("*").alias("n_rows"))
     if not total:
         return counted

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -14,7 +14,8 @@ def latest_snapshot(
     """Rows of the latest month that has any, going back ``lookback`` months at most.
 
     ``month_col`` holds ``yyyy-MM`` text and ``as_of`` counts as the first month.
-    On a table partitioned by month only the chosen month's files are read.
+    The month is found from the rows; on a stored table partitioned by month
+    :func:`latest_partition` finds it without reading any.
     """
     months = [_months_back(as_of, back) for back in range(lookback)]
     window = df.where(F.col(month_col).between(months[-1], months[0]))
@@ -22,6 +23,31 @@ def latest_snapshot(
     return window.where(F.col(month_col) == newest.scalar())
 
 
+def latest_partition(
+    spark: SparkSession, path: str, month_col: str, as_of: date, lookback: int = 11
+) -> DataFrame:
+    """As :func:`latest_snapshot`, of a Parquet table partitioned by ``month_col``.
+
+    The month is the latest of whose folder lists a file with content; a folder
+    with no more than empty files counts as none. Only that month is read.
+    """
+    table = spark.read.parquet(path)
+    for back in range(lookback):
+        month = _months_back(as_of, back)
+        if _has_content(spark, f"{path.rstrip('/')}/{month_col}={month}"):
+            return table.where(F.col(month_col) == month)
+    return table.where(F.lit(False))
+
+
+def _has_content(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return False
+    names = [f for f in fs.listStatus(path) if f.getPath().getName()[0] not in "_."]
+    return any(f.isDirectory() or f.getLen() > 0 for f in names)
+
+
 def _months_back(day: date, back: int) -> str:
     year, month = divmod(day.year * 12 + day.month - 1 - back, 12)
     return f"{year:04d}-{month + 1:02d}"

@@ -11,40 +11,76 @@ from firmbook.layout import NULL_TOKENS, text_schema
 from firmbook.sources.dumps import dump_options, dump_schema, nullify_tokens, tidy_dump
 
 
+def header_columns(
+    spark: SparkSession, path: str | Sequence[str], sep: str = ";", encoding: str = "UTF-8"
+) -> list[str]:
+    """Column names as the header of a CSV table states them."""
+    options = {"header": True, "sep": sep, "encoding": encoding, "escape": '"'}
+    return spark.read.options(**options).csv(_paths(path)).columns
+
+
 def read_table_csv(
     spark: SparkSession,
     path: str | Sequence[str],
-    columns: Sequence[str],
+    columns: Sequence[str] | None = None,
     sep: str = ";",
     encoding: str = "UTF-8",
     null_tokens: Sequence[str] = NULL_TOKENS,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Read a CSV table with header, every column as text; null tokens become null."""
+    """Read a CSV table with header, every column as text; null tokens become null.
+
+    ``columns`` are chosen by the names in the header, in any order; all of them
+    if it is not given. The files of one table must have the same header. Texts
+    with line breaks need ``multi_line``, which makes a file unsplittable.
+    """
+    names = header_columns(spark, path, sep, encoding)
     df = (
-        spark.read.schema(text_schema(columns))
-        .options(header=True, sep=sep, encoding=encoding, escape='"')
-        .csv(path if isinstance(path, str) else list(path))
+        spark.read.schema(text_schema(names))
+        .options(
+            header=True,
+            sep=sep,
+            encoding=encoding,
+            escape='"',
+            enforceSchema=False,
+            multiLine=multi_line,
+        )
+        .csv(_paths(path))
     )
-    return nullify_tokens(df, null_tokens)
+    return nullify_tokens(df.select(*_chosen(names, columns)), null_tokens)
 
 
 def read_lenient_csv(
     spark: SparkSession,
     path: str | Sequence[str],
-    columns: Sequence[str],
+    columns: Sequence[str] | None = None,
     sep: str = ";",
     encoding: str = "UTF-8",
+    multi_line: bool = False,
 ) -> DataFrame:
     """Read a CSV table with header, passing over what does not fit.
 
-    Short rows are filled with null, rows with too many fields are dropped.
+    As :func:`read_table_csv`, but rows shorter than the header are filled with
+    null and rows longer than the header are dropped.
     """
+    names = header_columns(spark, path, sep, encoding)
     raw = (
-        spark.read.schema(dump_schema(columns))
-        .options(**dump_options(sep, encoding, header=True))
-        .csv(path if isinstance(path, str) else list(path))
+        spark.read.schema(dump_schema(names))
+        .options(**dump_options(sep, encoding, multi_line, header=True), enforceSchema=False)
+        .csv(_paths(path))
     )
-    return tidy_dump(raw, columns, sep, null_tokens=("",))
+    return tidy_dump(raw, names, sep, null_tokens=("",)).select(*_chosen(names, columns))
+
+
+def _paths(path: str | Sequence[str]) -> str | list[str]:
+    return path if isinstance(path, str) else list(path)
+
+
+def _chosen(names: Sequence[str], columns: Sequence[str] | None) -> Sequence[str]:
+    missing = [c for c in columns or () if c not in names]
+    if missing:
+        raise ValueError(f"the header has no {', '.join(missing)}")
+    return names if columns is None else columns
 
 
 def read_inferred_csv(
@@ -53,6 +89,7 @@ def read_inferred_csv(
     keep_text: Sequence[str] = (),
     sep: str = ";",
     encoding: str = "UTF-8",
+    multi_line: bool = False,
 ) -> DataFrame:
     """Read a CSV table with header, types inferred from all rows.
 
@@ -60,8 +97,14 @@ def read_inferred_csv(
     columns in ``keep_text``. It costs a pass over the data: where the columns
     are known, prefer :func:`read_table_csv`.
     """
-    path = path if isinstance(path, str) else list(path)
-    options = {"header": True, "sep": sep, "encoding": encoding, "escape": '"'}
+    path = _paths(path)
+    options = {
+        "header": True,
+        "sep": sep,
+        "encoding": encoding,
+        "escape": '"',
+        "multiLine": multi_line,
+    }
     inferred = spark.read.options(inferSchema=True, **options).csv(path).schema
     schema = T.StructType(
         [

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -17,8 +18,12 @@ def _own_folder() -> str:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder name below the shared folder the cluster names."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    """A new folder name below the shared folder the cluster names; only a local master may go without one."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = _own_folder()
     path, fs = _hadoop(spark, shared)
     return f"{fs.makeQualified(path).toString().rstrip('/')}/firmbook-{uuid.uuid4().hex}"
 
@@ -31,7 +36,13 @@ def _hadoop(spark: SparkSession, location: str):
 def land_dump(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Write a table as a headerless latin-1 dump."""
     df.write.mode(mode).options(
-        sep=";", encoding="ISO-8859-1", quoteAll=True, escape='"', header=False
+        sep=";",
+        encoding="ISO-8859-1",
+        quoteAll=True,
+        escape='"',
+        header=False,
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
     ).csv(path)
     return path
 

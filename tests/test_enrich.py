@@ -26,12 +26,11 @@ def lookup(spark):
 
 
 @pytest.mark.parametrize("null_safe", [False, True])
-def test_salted_join_equals_broadcast_join(facts, lookup, rows, plan, monkeypatch, null_safe):
+def test_shuffled_join_equals_broadcast_join(facts, lookup, rows, plan, null_safe):
     small = join_lookup(facts, "code", lookup, null_safe=null_safe)
     assert "BroadcastHashJoin" in plan(small)
-    monkeypatch.setattr(enrich, "fits_broadcast", lambda *tables: [False] * len(tables))
-    big = join_lookup(facts, "code", lookup, null_safe=null_safe)
-    assert "explode" in plan(big)
+    big = join_lookup(facts, "code", lookup, null_safe=null_safe, max_rows=3)
+    assert plan(big).count("Join") > plan(small).count("Join")
     assert big.columns == small.columns == ["id", "code", "code_descricao"]
     assert rows(big) == rows(small)
     assert big.count() == facts.count()
@@ -39,22 +38,30 @@ def test_salted_join_equals_broadcast_join(facts, lookup, rows, plan, monkeypatc
     assert {r[0] for r in small.where("code is null").select("code_descricao").collect()} == {label}
 
 
-def test_salted_join_spreads_a_hot_code(spark, facts, lookup, monkeypatch):
-    monkeypatch.setattr(enrich, "fits_broadcast", lambda *tables: [False] * len(tables))
-    monkeypatch.setattr(enrich, "SALTS", 8)
+def test_null_and_hot_codes_stay_where_they_are(spark):
+    facts = spark.range(0, 40_000, 1, 40).selectExpr(
+        "id",
+        """case when id % 10 < 4 then null when id % 10 < 8 then 'hot'
+           when id < 2000 then 'in two partitions' else concat('c', id % 997) end as code""",
+    )
+    lookup = spark.range(997).selectExpr("concat('c', id) as codigo", "concat('C', id) as descricao")
+    named = spark.createDataFrame([("hot", "H"), ("in two partitions", "T")], lookup.schema)
+    spark.conf.set("spark.sql.shuffle.partitions", 200)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
     try:
-        tasks = (
-            join_lookup(facts.repartition(8, "id"), "code", lookup)
-            .where("code = 'hot'")
-            .groupBy(F.spark_partition_id())
-            .count()
-        )
-        assert tasks.count() > 1
+        joined = join_lookup(facts, "code", lookup.unionByName(named), max_rows=10)
+        tasks = joined.groupBy(F.spark_partition_id().alias("task"), "code").count().collect()
+        hot = [r["count"] for r in tasks if r.code == "hot"]
+        none = [r["count"] for r in tasks if r.code is None]
+        assert len(hot) == len(none) == 40 and max(hot) == max(none) == 400
+        assert sum(r["count"] for r in tasks) == 40_000
+        assert joined.where("code = 'in two partitions' and code_descricao = 'T'").count() == 400
+        assert joined.where("code like 'c%' and code_descricao <> upper(code)").count() == 0
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        for key in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold"):
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
 
 
 def test_size_check(lookup):
@@ -66,8 +73,8 @@ def test_size_check(lookup):
 def test_lookup_large_by_copies_only(spark, facts, rows, plan, monkeypatch):
     copies = spark.createDataFrame([("hot", "Quente")] * 500, "codigo string, descricao string")
     monkeypatch.setattr(enrich.fits_broadcast, "__kwdefaults__", {"max_rows": 100, "max_bytes": 10**6})
-    joined = join_lookup(facts, "code", copies)
-    assert "BroadcastHashJoin" in plan(joined) and "explode" not in plan(joined)
+    joined = join_lookup(facts, "code", copies, max_rows=100)
+    assert "BroadcastHashJoin" in plan(joined) and "SortMergeJoin" not in plan(joined)
     assert joined.count() == facts.count()
     both = enrich.join_lookups(facts.withColumn("other", F.col("code")), {"code": copies, "other": copies})
     assert both.count() == facts.count()

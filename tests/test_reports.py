@@ -220,7 +220,7 @@ def test_ids_in_split_files(spark, tmp_path):
 def test_ids_without_broadcast(spark, tmp_path, monkeypatch):
     from firmbook.operators import keys
 
-    monkeypatch.setattr(keys, "BROADCAST_FILES", 0)
+    monkeypatch.setattr(keys, "BROADCAST_BYTES", 0)
     df = spark.range(0, 300, 1, 3).selectExpr("id as k")
     ids = [r.id for r in surrogate_key(df, str(tmp_path / "s")).collect()]
     assert sorted(ids) == list(range(1, 301))
