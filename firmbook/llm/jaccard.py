@@ -8,9 +8,11 @@ by set relations:
    the leader's family; families give first components.
 2. The rest by prefix index. With all shingles in one global order, rare ones
    first, two linked sets share one of their first floor(n / 4) + 1 shingles.
-   Index lists are kept per family, sorted by set size and cut in blocks; a
-   block is skipped when sizes, or the shingles left behind the position, can't
-   reach the overlap. Lists within one component are skipped as a whole.
+   Lists of a single set are dropped, which tells how many of a set's first
+   shingles another set can share at all. The other lists are kept per family,
+   sorted by set size and cut in blocks; two blocks are skipped when sizes,
+   shingles left behind the position, or shareable shingles can't reach the
+   overlap. Lists within one component are skipped as a whole.
 3. What remains are pairs of families not yet connected. The leaders' overlap is
    computed; a member Y outside its leader by d shingles can share at most d
    more, so most members' answers follow from it, and only pairs that still can
@@ -22,6 +24,7 @@ Shingles are compared by 64-bit fingerprints.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +39,9 @@ from firmbook.llm.words import mix, slices, split
 SHINGLE = 5
 BANDS = 4
 #: Shingles that are put last in the global order, the most frequent ones; the order changes no result.
-FREQUENT = 1 << 16
+FREQUENT = 1 << 18
+#: Bits of a set's fingerprint that tell equal sets from others in an index list.
+TAG = np.uint64((1 << 48) - 1)
 #: Members of a family that one task compares with their leader.
 GROUP = 256
 BLOCK = 1 << 21
@@ -60,7 +65,7 @@ def shingle_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _digests(size: int) -> Callable:
-    """A row per text: set size, 128-bit fingerprint of the set, min-hash bands; and often repeated shingles."""
+    """A row per text: set size, 128-bit fingerprint of the set, min-hash bands; and shingles that repeat in a task."""
     seeds = mix(np.arange(1, 2 * BANDS + 3, dtype=np.uint64))
 
     def of_texts(part: pa.RecordBatch, prints: np.ndarray, first: np.ndarray) -> pa.RecordBatch:
@@ -85,7 +90,7 @@ def _digests(size: int) -> Callable:
 
     def of_shingles(held: list) -> pa.RecordBatch:
         prints, counts = np.unique(np.concatenate(held), return_counts=True)
-        prints, counts = prints[counts > 3], counts[counts > 3]
+        prints, counts = prints[counts > 1], counts[counts > 1]
         n = len(prints)
         columns = [pa.array(np.ones(n, np.int32)), pa.nulls(n, pa.int64()), pa.array(counts.astype(np.int64))]
         columns += [pa.array(prints.view(np.int64)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int64()))]
@@ -199,38 +204,49 @@ def _receive(batches: Iterator[pa.RecordBatch], kinds: dict[int, int]) -> dict[i
 
 
 def _postings(size: int, frequent: np.ndarray, counts: np.ndarray, ranges: int) -> Callable:
-    """Prefix shingles of every text: shingle, doc_id, set size, shingles left behind it in the order."""
+    """Prefix shingles of every text: shingle, doc_id, tag of the set, shingles left behind it in the order.
+
+    And to the texts' homes: doc_id and a rank of the last prefix shingle in the order.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size_held = [], 0
+        held, lasts, size_held = [], [], 0
         for part in slices(batches):
             prints, first = shingle_sets(part.column("text"), size)
             sizes = np.diff(first)
             owner = np.repeat(np.arange(len(sizes)), sizes)
+            some = np.flatnonzero(sizes)
+            tags = np.zeros(len(sizes), np.uint64)
+            if len(some):
+                tags[some] = np.add.reduceat(mix(prints + np.uint64(1)), first[some]) & TAG
             weight = np.zeros(len(prints), np.int64)
             if len(frequent) and len(prints):
                 near = np.minimum(np.searchsorted(frequent, prints), len(frequent) - 1)
                 weight = np.where(frequent[near] == prints, counts[near], 0)
             if weight.any():
-                prints = prints[np.lexsort((weight, owner))]  # stable: by weight, then fingerprint
+                order = np.lexsort((weight, owner))  # stable: by weight, then fingerprint
+                prints, weight = prints[order], weight[order]
             place = np.arange(len(prints)) - np.repeat(first[:-1], sizes)
             chosen = place <= np.repeat(sizes // 4, sizes)
-            n = np.repeat(sizes, sizes)
+            left = np.repeat(sizes, sizes) - place - 1
             ids = part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
-            held.append([x[chosen] for x in (prints, ids[owner], n, n - place - 1)])
+            held.append([x[chosen] for x in (prints, ids[owner], tags[owner], left)])
+            end = first[some] + sizes[some] // 4
+            rank = np.minimum(weight[end], (1 << 24) - 1).astype(np.uint64) << np.uint64(40)
+            lasts.append([ids[some], rank | (prints[end] >> np.uint64(24))])
             size_held += int(chosen.sum())
             if size_held >= BLOCK // 2:
-                columns = [np.concatenate(c) for c in zip(*held)]
-                yield from _sorted_send(columns, ranges)
-                held, size_held = [], 0
+                yield from _block(held, lasts, ranges)
+                held, lasts, size_held = [], [], 0
         if held:
-            yield from _sorted_send([np.concatenate(c) for c in zip(*held)], ranges)
+            yield from _block(held, lasts, ranges)
 
     return run
 
 
-def _sorted_send(columns: list[np.ndarray], ranges: int) -> Iterator[pa.RecordBatch]:
+def _block(held: list, lasts: list, ranges: int) -> Iterator[pa.RecordBatch]:
     """Entries sorted by shingle; steps of the sorted shingles pack better than themselves."""
+    columns = [np.concatenate(c) for c in zip(*held)]
     order = np.argsort(columns[0], kind="stable")
     columns = [c[order] for c in columns]
     keys = _range_of(columns[0], ranges)
@@ -238,15 +254,19 @@ def _sorted_send(columns: list[np.ndarray], ranges: int) -> Iterator[pa.RecordBa
     steps = np.diff(columns[0], prepend=np.uint64(0))
     steps[fresh] = columns[0][fresh]
     yield from _send(0, keys, [steps, *columns[1:]], ranges)
+    columns = [np.concatenate(c) for c in zip(*lasts)]
+    yield from _send(2, columns[0] % ranges, columns, ranges)
 
 
 def _shared_lists(ranges: int) -> Callable:
-    """Entries of shingles that several texts post, sent to their texts' homes."""
+    """Entries of shingles that several sets post, sent to their texts' homes; the rest passes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = []
         for batch in batches:
-            for cells in batch.column("columns"):
+            entries = batch.column("kind").to_numpy() == 0
+            yield batch.filter(pa.array(~entries))
+            for cells in batch.column("columns").filter(pa.array(entries)):
                 steps, *others = [unpack(c.as_buffer()) for c in cells.values]
                 held.append([np.cumsum(steps, dtype=np.uint64), *others])
         if not held:
@@ -254,64 +274,103 @@ def _shared_lists(ranges: int) -> Callable:
         columns = [np.concatenate(c) for c in zip(*held)]
         del held
         order = np.argsort(columns[0], kind="stable")
-        prints, ids, n, rest = (c[order] for c in columns)
+        prints, ids, tags, left = (c[order] for c in columns)
         cuts = np.flatnonzero(np.append(True, prints[1:] != prints[:-1]))
-        several = np.minimum.reduceat(ids, cuts) != np.maximum.reduceat(ids, cuts)
+        several = np.minimum.reduceat(tags, cuts) != np.maximum.reduceat(tags, cuts)
         chosen = np.repeat(several, np.diff(np.append(cuts, len(prints))))
         ids = ids[chosen]
-        yield from _send(0, ids.view(np.int64) % ranges, [prints[chosen], ids, n[chosen], rest[chosen]], ranges)
+        yield from _send(0, ids.view(np.int64) % ranges, [prints[chosen], ids, left[chosen]], ranges)
 
     return run
 
 
+_KNOWN = ("rep", "component", "family", "n")
+
+
 def _known_cells(ranges: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(c).to_numpy().view(np.uint64) for c in ("rep", "component", "family")]
+            columns = [batch.column(c).to_numpy().view(np.uint64) for c in _KNOWN]
             yield from _send(1, columns[0].view(np.int64) % ranges, columns, ranges)
 
     return run
 
 
 def _with_families(ranges: int) -> Callable:
-    """Entries of representatives with component and family, sent back to their shingles' ranges."""
+    """Entries of representatives with component, family, size, reach and rank, sent back to their shingles' ranges.
+
+    reach: the most shingles that a set whose prefix ends no earlier can share with this one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = _receive(batches, {0: 4, 1: 3})
-        (prints, ids, n, rest), known = got[0], got[1]
+        got = _receive(batches, {0: 3, 1: 4, 2: 2})
+        (prints, ids, left), known, (owners, ranks) = got[0], got[1], got[2]
         if not len(prints) or not len(known[0]):
             return
         order = np.argsort(known[0])
-        reps, component, family = (c[order] for c in known)
+        reps, component, family, n = (c[order] for c in known)
+        order = np.argsort(owners, kind="stable")
+        rank = ranks[order][np.searchsorted(owners[order], reps)]
         near = np.minimum(np.searchsorted(reps, ids), len(reps) - 1)
         own = reps[near] == ids
         near, prints = near[own], prints[own]
-        yield from _send(0, _range_of(prints, ranges), [prints, component[near], family[near], n[own], rest[own]], ranges)
+        shared = np.bincount(near, minlength=len(reps)).astype(np.uint64)
+        reach = shared + n - n // np.uint64(4) - np.uint64(1)
+        columns = [prints, *[c[near] for c in (component, family, n, reach, rank)], left[own]]
+        yield from _send(0, _range_of(prints, ranges), columns, ranges)
 
     return run
 
 
-def _block_skip(component, family, low, high, rest) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of families of one index list that can reach the overlap; entries sorted by low."""
-    starts = np.arange(0, len(low), SKIP)
-    most_rest = np.maximum.reduceat(rest, starts)
-    for i in range(len(low)):
-        able = (starts + SKIP > i + 1) & (3 * low[starts] <= 4 * high[i])
-        able &= 7 * (1 + np.minimum(most_rest, rest[i])) >= 3 * (low[starts] + low[i])
-        for block in starts[able]:
-            j = np.arange(max(block, i + 1), min(block + SKIP, len(low)))
-            good = (3 * low[j] <= 4 * high[i]) & (component[j] != component[i])
-            good &= 7 * (1 + np.minimum(rest[j], rest[i])) >= 3 * (low[j] + low[i])
-            if good.any():
-                yield np.full(good.sum(), family[i]), family[j[good]]
+@dataclass
+class Families:
+    """The families of one index list, by smallest set size; all numbers are bounds over their members."""
+
+    family: np.ndarray
+    component: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    left: np.ndarray
+    reach: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of different components that can reach the overlap, block by block."""
+        starts = np.arange(0, len(self.low), SKIP)
+        high, left, reach = (np.maximum.reduceat(x, starts) for x in (self.high, self.left, self.reach))
+        for a, i in enumerate(starts):
+            for b in range(a, len(starts)):
+                need = 3 * (self.low[i] + self.low[starts[b]])
+                if 3 * self.low[starts[b]] > 4 * high[a]:
+                    break
+                if 7 * min(1 + left[a], 1 + left[b], max(reach[a], reach[b])) < need:
+                    continue
+                yield from self._block(slice(i, i + SKIP), slice(starts[b], starts[b] + SKIP), a == b)
+
+    def _block(self, one: slice, two: slice, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        def both(name: str) -> tuple[np.ndarray, np.ndarray]:
+            x = getattr(self, name)
+            return x[one][:, None], x[two][None, :]
+
+        (low, low2), (left, left2), (reach, reach2) = both("low"), both("left"), both("reach")
+        (first, first2), (last, last2) = both("first"), both("last")
+        # The set whose prefix ends first bounds the overlap; it is not always known which one it is.
+        most = np.where(last < first2, reach, np.where(last2 < first, reach2, np.maximum(reach, reach2)))
+        good = 7 * np.minimum(most, 1 + np.minimum(left, left2)) >= 3 * (low + low2)
+        good &= 3 * low2 <= 4 * both("high")[0]
+        good &= np.not_equal(*both("component"))
+        i, j = np.nonzero(np.triu(good, 1) if same else good)
+        if len(i):
+            yield self.family[one][i], self.family[two][j]
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of families of different components that share a prefix shingle."""
-    (prints, component, family, n, rest), = _receive(batches, {0: 5}).values()
-    order = np.lexsort((family, prints))
-    prints, component, family, n, rest = (c[order] for c in (prints, component, family, n, rest))
-    n, rest = n.astype(np.int64), rest.astype(np.int64)
+    """Pairs of families of different components that share a prefix shingle and can be linked."""
+    columns = _receive(batches, {0: 7})[0]
+    order = np.lexsort((columns[2], columns[0]))
+    prints, component, family, n, reach, rank, left = (c[order] for c in columns)
+    n, reach, left = n.astype(np.int64), reach.astype(np.int64), left.astype(np.int64)
     if not len(prints):
         return
     cuts = np.flatnonzero(np.append(True, prints[1:] != prints[:-1]))
@@ -319,12 +378,14 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ends = np.append(cuts[1:], len(prints))
     held, size = [], 0
     for at, to in zip(cuts[mixed], ends[mixed]):
-        each = at + np.flatnonzero(np.append(True, family[at + 1 : to] != family[at : to - 1]))
-        low, high = np.minimum.reduceat(n[at:to], each - at), np.maximum.reduceat(n[at:to], each - at)
-        left = np.maximum.reduceat(rest[at:to], each - at)
-        by_size = np.argsort(low, kind="stable")
-        each = each[by_size]
-        for pair in _block_skip(component[each], family[each], low[by_size], high[by_size], left[by_size]):
+        each = np.flatnonzero(np.append(True, family[at + 1 : to] != family[at : to - 1]))
+        lowest = {k: np.minimum.reduceat(x[at:to], each) for k, x in (("low", n), ("first", rank))}
+        highest = {
+            k: np.maximum.reduceat(x[at:to], each) for k, x in (("high", n), ("left", left), ("reach", reach), ("last", rank))
+        }
+        bounds = {"family": family[at + each], "component": component[at + each]} | lowest | highest
+        by_size = np.argsort(bounds["low"], kind="stable")
+        for pair in Families(**{k: x[by_size] for k, x in bounds.items()}).pairs():
             held.append(pair)
             size += len(pair[0])
             if size > 1 << 18:
@@ -385,18 +446,26 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     )
     placed = settle(placed, folder, "placed")
 
+    often = digests.where("kind = 1").groupBy("hi").agg(F.sum("n").alias("n"))
+    often = settle(often, folder, "often")
+    levels = often.groupBy("n").agg(F.count("*").alias("shingles")).orderBy(F.col("n").desc()).limit(FREQUENT).collect()
+    least, total = 1 << 62, 0
+    for row in levels:
+        total += row["shingles"]
+        if total > FREQUENT:
+            break
+        least = row["n"]
     # Bounded by FREQUENT, so it may pass through the driver.
-    often = digests.where("kind = 1").groupBy("hi").agg(F.sum("n").alias("n")).where("n > 15")
-    often = often.orderBy(F.col("n").desc(), "hi").limit(FREQUENT).toPandas()
-    frequent = often["hi"].to_numpy(np.int64).view(np.uint64)
+    often = often.where(F.col("n") >= least).toArrow()
+    frequent = often.column("hi").to_numpy().view(np.uint64)
     order = np.argsort(frequent)
-    frequent, counts = frequent[order], often["n"].to_numpy(np.int64)[order]
+    frequent, counts = frequent[order], often.column("n").to_numpy()[order]
 
     homes = (
         known.mapInArrow(_postings(size, frequent, counts, ranges), _CELLS)
         .repartitionById(ranges, F.col("range"))
         .mapInArrow(_shared_lists(ranges), _CELLS)
-        .unionByName(placed.select("rep", "component", "family").mapInArrow(_known_cells(ranges), _CELLS))
+        .unionByName(placed.select(*_KNOWN).mapInArrow(_known_cells(ranges), _CELLS))
         .repartitionById(ranges, F.col("range"))
         .mapInArrow(_with_families(ranges), _CELLS)
         .repartitionById(ranges, F.col("range"))
