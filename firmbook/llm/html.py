@@ -19,12 +19,11 @@ import json
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
-from urllib.parse import urlsplit
 
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firmbook.llm.shared import settle, workspace
@@ -243,22 +242,20 @@ def _preorder(shape: Shape) -> list[Shape]:
     return out
 
 
-def host_of(url: str | None) -> str:
-    try:
-        return urlsplit(url or "").hostname or ""
-    except ValueError:
-        return ""
+def host_of(url: str = "url") -> Column:
+    """The host of an address in lower case, empty if it has none."""
+    return F.lower(F.coalesce(F.try_parse_url(F.col(url), F.lit("HOST")), F.lit("")))
 
 
 def _outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """host, outline, and the fingerprint and length of the text at each of its nodes."""
     for batch in batches:
         out = []
-        for url, page in zip(batch.column("url").to_pylist(), batch.column("html")):
+        for host, page in zip(batch.column("host").to_pylist(), batch.column("html")):
             shape = Shape([parse(page.as_py())])
             texts = [s.text() for s in _preorder(shape)]
             prints = [xxhash.xxh3_64_intdigest(" ".join(t.split())) - (1 << 63) for t in texts]
-            out.append((host_of(url), json.dumps(shape.outline()), prints, [len(t) for t in texts]))
+            out.append((host, json.dumps(shape.outline()), prints, [len(t) for t in texts]))
         columns = list(zip(*out)) if out else [[]] * 4
         kinds = (pa.string(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()))
         yield pa.RecordBatch.from_arrays(
@@ -316,7 +313,7 @@ def _wrapper(rows: pd.DataFrame) -> pd.DataFrame:
 def wrappers(pages: DataFrame) -> DataFrame:
     """host, reference (outline), holder (its node; 0: none), template (its constant nodes), for each host."""
     folder = workspace(pages.sparkSession)
-    outlines = pages.select("url", "html").mapInArrow(_outlines, "host string, outline string, prints array<long>, lengths array<long>")
+    outlines = pages.select(host_of().alias("host"), "html").mapInArrow(_outlines, "host string, outline string, prints array<long>, lengths array<long>")
     outlines = settle(outlines, folder, "outlines")
     # The most frequent outline of a host is its reference.
     kinds = outlines.groupBy("host", "outline").agg(F.count("*").alias("pages"))
@@ -377,10 +374,9 @@ def extract(pages: DataFrame) -> DataFrame:
     its article, main or body element without noise. Repeated rows are kept.
     Columns other than page_id, url and html are not looked at.
     """
-    host = F.udf(host_of, "string")
     folder = workspace(pages.sparkSession)
     rules = settle(wrappers(pages.select("url", "html")), folder, "wrappers")
-    hosted = pages.select("page_id", "url", "html", host("url").alias("host"))
+    hosted = pages.select("page_id", "url", "html", host_of().alias("host"))
     kinds = {f.name: f.dataType.simpleString() for f in hosted.schema}
     out = hosted.join(rules, "host", "left").mapInArrow(_extract, f"page_id {kinds['page_id']}, url string, text string")
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

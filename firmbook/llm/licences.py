@@ -95,7 +95,7 @@ def literals(expression: str) -> list[str]:
     """Runs of literal characters that every match of the expression has."""
     plain = re.sub(r"\(\?:(?:[^()]|\([^()]*\))*\)\??|\[[^\]]*\][+*?]?|\\d[+*?]?", "\0", expression)
     plain = re.sub(r".\?", "\0", plain)
-    return re.split(r"[\0()|*+\\]", plain)
+    return [part for part in re.split(r"[\0()|*+\\]", plain) if part]
 
 
 def rules() -> list[tuple]:

@@ -1,0 +1,50 @@
+import random
+
+import numpy as np
+import pytest
+
+from firmbook.llm import topk
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def brute(rows: list[tuple], queries: list[tuple], k: int) -> list[tuple]:
+    def whole(v):
+        fit = v is not None and all(x is not None and np.isfinite(np.float32(x)) for x in v)
+        return [int(np.floor(1024 * float(np.float32(x)))) for x in v] if fit else None
+
+    vectors = [(i, whole(v)) for i, v, *_ in rows if i is not None]
+    out = []
+    for i, v in sorted({(i, tuple(w)) for i, v, *_ in queries if i is not None and (w := whole(v)) is not None}):
+        scored = [(-sum(a * b for a, b in zip(v, w)), j) for j, w in vectors if w is not None and j != i and len(w) == len(v)]
+        out += [(i, rank, j, -score) for rank, (score, j) in enumerate(sorted(scored)[:k], 1)]
+    return sorted(out)
+
+
+def result(df) -> list[tuple]:
+    return sorted(tuple(r) for r in df.select("query_id", "rank", "vec_id", "score").collect())
+
+
+@pytest.mark.parametrize("k, block", [(10, 2048), (3, 2), (500, 2048)])
+def test_equals_brute_force(spark, k, block):
+    rng = random.Random(k)
+    some = [[rng.choice([-1.0, -0.5, 0.25, 0.3]) for _ in range(7)] for _ in range(30)]
+    rows = [(i, rng.choice(some) if i % 2 else [rng.uniform(-1, 1) for _ in range(7)], 0) for i in range(300)]
+    rows += [(1000, None, 1), (1001, [], 1), (1002, [None] + [0.1] * 6, 1), (1003, [float("nan")] * 7, 1),
+             (1004, [float("inf")] + [0.0] * 6, 1), (None, [0.1] * 7, 1), (1005, [0.5] * 3, 1), (1006, [0.25] * 3, 1), rows[4]]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    asked = [r for r in rows if r[0] is not None and (r[0] % 20 == 0 or r[0] > 999)]
+    queries = spark.createDataFrame(asked, SCHEMA)
+    assert result(topk.top_k(df, queries, k, block)) == brute(rows, asked, k)
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    some = spark.createDataFrame([(100, [1.0, 2.0], 0)], SCHEMA)
+    assert topk.top_k(none, none).count() == topk.top_k(some, none).count() == topk.top_k(some, some).count() == 0
+
+
+def test_large_components_stay_exact(spark):
+    rows = [(100, [3e9, 1.0], 0), (1, [3e5, 2.0], 0), (2, [3e5, 1.0], 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert result(topk.top_k(df, df.where("vec_id = 100"))) == brute(rows, rows[:1], 10)

@@ -1,0 +1,69 @@
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from types import SimpleNamespace
+
+from firmbook.llm import shared
+from firmbook.llm.words import slices, split
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def texts(seed: int) -> list:
+    rng = random.Random(seed)
+    letters = "ab é \n\t\x0b\x0c\r 中Z"
+    return [None, "", " "] + ["".join(rng.choices(letters, k=rng.randrange(60))) for _ in range(300)]
+
+
+@pytest.mark.parametrize("lower", [False, True])
+def test_words_equal_the_expression(lower):
+    given = texts(1)
+    words = split(pa.array(given).slice(2), lower=lower)
+    want = [WORD.findall(t or "") for t in given[2:]]
+    if lower:
+        want = [[w.replace("Z", "z") for w in ws] for ws in want]
+    raw = words.data.tobytes()
+    got = [
+        [raw[words.starts[i] : words.ends[i]].decode() for i in range(a, b)]
+        for a, b in zip(words.first[:-1], words.first[1:])
+    ]
+    assert got == want
+
+
+@pytest.mark.parametrize("size, short", [(1, False), (3, False), (3, True), (5, True)])
+def test_windows_are_equal_where_their_words_are(size, short):
+    given = texts(2)
+    prints, first = split(pa.array(given)).windows(size, short)
+    seen = {}
+    for number, text in enumerate(given):
+        words = WORD.findall(text or "")
+        own = [tuple(words[i : i + size]) for i in range(len(words) - size + 1)]
+        if short and words and len(words) < size:
+            own = [tuple(words)]
+        assert first[number + 1] - first[number] == len(own)
+        for window, mark in zip(own, prints[first[number] : first[number + 1]].tolist()):
+            assert seen.setdefault(window, mark) == mark
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_slices_keep_all_rows():
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(50)), "text": ["x" * (100_000 * (i % 7)) for i in range(50)]})
+    parts = list(slices([batch]))
+    assert len(parts) > 3 and pa.Table.from_batches(parts).combine_chunks().equals(pa.Table.from_batches([batch]))
+
+
+def test_packing_round_trip():
+    values = np.random.default_rng(3).integers(0, 1 << 63, 1000, dtype=np.uint64)
+    assert (shared.unpack(shared.pack(values)) == values).all()
+    values.sort()
+    assert (shared.unpack_sorted(shared.pack_sorted(values)) == values).all()
+    assert len(shared.unpack(shared.pack(values[:0]))) == 0
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared.workspace(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="local-cluster[2,1,1024]")))
