@@ -45,6 +45,12 @@ def test_empty_tables(spark):
 
 
 def test_large_components_stay_exact(spark):
-    rows = [(100, [3e9, 1.0], 0), (1, [3e5, 2.0], 0), (2, [3e5, 1.0], 0)]
+    rows = [(100, [2e6, 1.0], 0), (1, [3e5, 2.0], 0), (2, [3e5, 1.0], 0)]
     df = spark.createDataFrame(rows, SCHEMA)
     assert result(topk.top_k(df, df.where("vec_id = 100"))) == brute(rows, rows[:1], 10)
+
+
+def test_scores_beyond_a_long_are_refused(spark):
+    df = spark.createDataFrame([(100, [3e9], 0), (1, [3e9], 0)], SCHEMA)
+    with pytest.raises(Exception, match="does not fit a long"):
+        topk.top_k(df, df.where("vec_id = 100")).collect()
