@@ -31,7 +31,7 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents")).drop("representative")
 
 
 @registered
@@ -41,7 +41,7 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substrings.removed_intervals(table(spark, sf_dir, "documents"))
+    return substrings.removed_intervals(table(spark, sf_dir, "documents")).drop("starts", "ends")
 
 
 @registered
@@ -89,3 +89,51 @@ from (
 )
 where rank <= 10
 """
+
+ORACLE["op3_ngram_jaccard_join"] = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents
+), shingles as (
+  select distinct doc_id, array_to_string(w[i : i + 4], ' ') as shingle
+  from words, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) as t(i)
+), sizes as (
+  select doc_id, count(*) as n from shingles group by doc_id
+), common as (
+  select a.doc_id as a, b.doc_id as b, count(*) as n
+  from shingles a join shingles b on a.shingle = b.shingle and a.doc_id < b.doc_id group by all
+), links as (
+  select a, b from common join sizes x on a = x.doc_id join sizes y on b = y.doc_id
+  where 100 * common.n >= 75 * (x.n + y.n - common.n)
+), both_ways as (
+  select a, b from links union all select b, a from links
+), reach as (
+  select doc_id as a, doc_id as b from documents
+  union
+  select reach.a, both_ways.b from reach join both_ways on reach.b = both_ways.a
+)
+select d.doc_id, coalesce(n, 0) as n_shingles, component_id
+from documents d left join sizes on d.doc_id = sizes.doc_id
+join (select a, min(b) as component_id from reach group by a) on d.doc_id = a
+"""
+
+ORACLE["op5_substring_dedup"] = r"""
+with words as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+), windows as (
+  select doc_id, i, array_to_string(w[i : i + 12], ' ') as passage from words, unnest(range(1, len(w) - 11)) as t(i)
+), first_seen as (
+  select passage, min(doc_id) as first_id from windows group by passage
+), gone as (
+  select distinct doc_id, unnest(range(i, i + 13)) as k
+  from windows join first_seen using (passage) where first_id < doc_id
+), placed as (
+  select doc_id, k, w[k] as word from words, unnest(range(1, len(w) + 1)) as t(k)
+), kept as (
+  select p.doc_id, count(g.k) as n_removed, string_agg(word, ' ' order by p.k) filter (where g.k is null) as text
+  from placed p left join gone g on p.doc_id = g.doc_id and p.k = g.k group by p.doc_id
+)
+select doc_id, len(w) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept.text, '')) as kept_sha256
+from words left join kept using (doc_id)
+"""
