@@ -24,12 +24,12 @@ Shingles are compared by 64-bit fingerprints.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from firmbook.llm.components import components
@@ -44,7 +44,11 @@ FREQUENT = 1 << 18
 TAG = np.uint64((1 << 48) - 1)
 #: Members of a family that one task compares with their leader.
 GROUP = 256
-BLOCK = 1 << 21
+#: Shingles, and index entries, that a task gathers before it counts or packs them.
+BLOCK = 1 << 20
+POSTINGS = 1 << 18
+#: Compressed texts that a task takes apart at once.
+PACKED_BYTES = 1 << 18
 #: Entries of an index list in a block that is skipped as one.
 SKIP = 128
 
@@ -128,7 +132,7 @@ def _compare(size: int) -> Callable:
             rows, at = batch.to_pylist(), 0
             while at < len(rows):
                 to, held = at, 0
-                while to < len(rows) and held < 1 << 18:
+                while to < len(rows) and held < PACKED_BYTES:
                     held += len(rows[to]["packed"])
                     to += 1
                 texts = [unpacker.decompress(r["packed"]) for r in rows[at:to]]
@@ -181,8 +185,9 @@ def _range_of(prints: np.ndarray, ranges: int) -> np.ndarray:
 
 def _send(kind: int, keys: np.ndarray, columns: list[np.ndarray], ranges: int) -> Iterator[pa.RecordBatch]:
     """The entries in one packed cell per range."""
-    order = np.argsort(keys, kind="stable")
-    keys, columns = keys[order], [c[order] for c in columns]
+    if (keys[1:] < keys[:-1]).any():
+        order = np.argsort(keys, kind="stable")
+        keys, columns = keys[order], [c[order] for c in columns]
     bounds = np.searchsorted(keys, np.arange(ranges + 1))
     for start in range(0, ranges, 64):
         own = [n for n in range(start, min(ranges, start + 64)) if bounds[n] < bounds[n + 1]]
@@ -235,7 +240,7 @@ def _postings(size: int, frequent: np.ndarray, counts: np.ndarray, ranges: int)
             rank = np.minimum(weight[end], (1 << 24) - 1).astype(np.uint64) << np.uint64(40)
             lasts.append([ids[some], rank | (prints[end] >> np.uint64(24))])
             size_held += int(chosen.sum())
-            if size_held >= BLOCK // 2:
+            if size_held >= POSTINGS:
                 yield from _block(held, lasts, ranges)
                 held, lasts, size_held = [], [], 0
         if held:
@@ -247,8 +252,10 @@ def _postings(size: int, frequent: np.ndarray, counts: np.ndarray, ranges: int)
 def _block(held: list, lasts: list, ranges: int) -> Iterator[pa.RecordBatch]:
     """Entries sorted by shingle; steps of the sorted shingles pack better than themselves."""
     columns = [np.concatenate(c) for c in zip(*held)]
+    held.clear()
     order = np.argsort(columns[0], kind="stable")
-    columns = [c[order] for c in columns]
+    for n, column in enumerate(columns):
+        columns[n] = column[order]
     keys = _range_of(columns[0], ranges)
     fresh = np.append(True, keys[1:] != keys[:-1])[: len(keys)]
     steps = np.diff(columns[0], prepend=np.uint64(0))
@@ -284,7 +291,7 @@ def _shared_lists(ranges: int) -> Callable:
     return run
 
 
-_KNOWN = ("rep", "component", "family", "n")
+_KNOWN = ("rep", "component", "family", "n", "block")
 
 
 def _known_cells(ranges: int) -> Callable:
@@ -303,12 +310,12 @@ def _with_families(ranges: int) -> Callable:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = _receive(batches, {0: 3, 1: 4, 2: 2})
+        got = _receive(batches, {0: 3, 1: 5, 2: 2})
         (prints, ids, left), known, (owners, ranks) = got[0], got[1], got[2]
         if not len(prints) or not len(known[0]):
             return
         order = np.argsort(known[0])
-        reps, component, family, n = (c[order] for c in known)
+        reps, component, family, n, block = (c[order] for c in known)
         order = np.argsort(owners, kind="stable")
         rank = ranks[order][np.searchsorted(owners[order], reps)]
         near = np.minimum(np.searchsorted(reps, ids), len(reps) - 1)
@@ -316,7 +323,7 @@ def _with_families(ranges: int) -> Callable:
         near, prints = near[own], prints[own]
         shared = np.bincount(near, minlength=len(reps)).astype(np.uint64)
         reach = shared + n - n // np.uint64(4) - np.uint64(1)
-        columns = [prints, *[c[near] for c in (component, family, n, reach, rank)], left[own]]
+        columns = [prints, *[c[near] for c in (component, family, n, reach, rank, block)], left[own]]
         yield from _send(0, _range_of(prints, ranges), columns, ranges)
 
     return run
@@ -334,9 +341,13 @@ class Families:
     reach: np.ndarray
     first: np.ndarray
     last: np.ndarray
+    block: np.ndarray
 
-    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of different components that can reach the overlap, block by block."""
+    def side(self, rows) -> dict[str, np.ndarray]:
+        return {f.name: getattr(self, f.name)[rows] for f in fields(self)}
+
+    def pairs(self) -> Iterator[tuple[np.ndarray, ...]]:
+        """Pairs of different components that can reach the overlap, block by block: families and their blocks."""
         starts = np.arange(0, len(self.low), SKIP)
         high, left, reach = (np.maximum.reduceat(x, starts) for x in (self.high, self.left, self.reach))
         for a, i in enumerate(starts):
@@ -348,57 +359,178 @@ class Families:
                     continue
                 yield from self._block(slice(i, i + SKIP), slice(starts[b], starts[b] + SKIP), a == b)
 
-    def _block(self, one: slice, two: slice, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        def both(name: str) -> tuple[np.ndarray, np.ndarray]:
-            x = getattr(self, name)
-            return x[one][:, None], x[two][None, :]
-
-        (low, low2), (left, left2), (reach, reach2) = both("low"), both("left"), both("reach")
-        (first, first2), (last, last2) = both("first"), both("last")
-        # The set whose prefix ends first bounds the overlap; it is not always known which one it is.
-        most = np.where(last < first2, reach, np.where(last2 < first, reach2, np.maximum(reach, reach2)))
-        good = 7 * np.minimum(most, 1 + np.minimum(left, left2)) >= 3 * (low + low2)
-        good &= 3 * low2 <= 4 * both("high")[0]
-        good &= np.not_equal(*both("component"))
+    def _block(self, one: slice, two: slice, same: bool) -> Iterator[tuple[np.ndarray, ...]]:
+        a = {k: x[:, None] for k, x in self.side(one).items()}
+        good = possible(a, {k: x[None, :] for k, x in self.side(two).items()})
         i, j = np.nonzero(np.triu(good, 1) if same else good)
         if len(i):
-            yield self.family[one][i], self.family[two][j]
+            yield tuple(getattr(self, k)[part][at] for k in ("family", "block") for part, at in ((one, i), (two, j)))
+
+
+def possible(a: dict[str, np.ndarray], b: dict[str, np.ndarray]) -> np.ndarray:
+    """Whether members of two families can be linked; a is not larger by `low` than b."""
+    # The set whose prefix ends first bounds the overlap; it is not always known which one it is.
+    either = np.maximum(a["reach"], b["reach"])
+    most = np.where(a["last"] < b["first"], a["reach"], np.where(b["last"] < a["first"], b["reach"], either))
+    good = 7 * np.minimum(most, 1 + np.minimum(a["left"], b["left"])) >= 3 * (a["low"] + b["low"])
+    return good & (3 * b["low"] <= 4 * a["high"]) & (a["component"] != b["component"])
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of families of different components that share a prefix shingle and can be linked."""
-    columns = _receive(batches, {0: 7})[0]
+    """Pairs of families of different components that share a prefix shingle and can be linked, by pair of blocks."""
+    columns = _receive(batches, {0: 8})[0]
     order = np.lexsort((columns[2], columns[0]))
-    prints, component, family, n, reach, rank, left = (c[order] for c in columns)
+    prints, component, family, n, reach, rank, block, left = (c[order] for c in columns)
     n, reach, left = n.astype(np.int64), reach.astype(np.int64), left.astype(np.int64)
     if not len(prints):
         return
     cuts = np.flatnonzero(np.append(True, prints[1:] != prints[:-1]))
     mixed = np.minimum.reduceat(component, cuts) != np.maximum.reduceat(component, cuts)
     ends = np.append(cuts[1:], len(prints))
-    held, size = [], 0
-    for at, to in zip(cuts[mixed], ends[mixed]):
+    cuts, ends = cuts[mixed], ends[mixed]
+    # Lists of two at once.
+    two = cuts[ends - cuts == 2]
+    small = np.where(n[two] <= n[two + 1], two, two + 1)
+    large = 2 * two + 1 - small
+    whole = Families(family, component, n, n, left, reach, rank, rank, block)
+    good = possible(whole.side(small), whole.side(large))
+    held = [(family[small[good]], family[large[good]], block[small[good]], block[large[good]])]
+    size = len(held[0][0])
+    for at, to in zip(cuts[ends - cuts > 2], ends[ends - cuts > 2]):
         each = np.flatnonzero(np.append(True, family[at + 1 : to] != family[at : to - 1]))
         lowest = {k: np.minimum.reduceat(x[at:to], each) for k, x in (("low", n), ("first", rank))}
         highest = {
             k: np.maximum.reduceat(x[at:to], each) for k, x in (("high", n), ("left", left), ("reach", reach), ("last", rank))
         }
-        bounds = {"family": family[at + each], "component": component[at + each]} | lowest | highest
+        same = {k: x[at + each] for k, x in (("family", family), ("component", component), ("block", block))}
+        bounds = same | lowest | highest
         by_size = np.argsort(bounds["low"], kind="stable")
         for pair in Families(**{k: x[by_size] for k, x in bounds.items()}).pairs():
             held.append(pair)
             size += len(pair[0])
-            if size > 1 << 18:
+            if size > 1 << 20:
                 yield _pairs(held)
                 held, size = [], 0
-    if held:
-        yield _pairs(held)
+    yield _pairs(held)
 
 
 def _pairs(held: list) -> pa.RecordBatch:
-    a, b = (np.concatenate(x).view(np.int64) for x in zip(*held))
-    found = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)], axis=1), axis=0)
-    return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+    """Distinct pairs, one row for each pair of blocks."""
+    a, b, block_a, block_b = (np.concatenate(x).view(np.int64) for x in zip(*held))
+    swap = (block_a > block_b) | ((block_a == block_b) & (a > b))
+    a, b = np.where(swap, b, a), np.where(swap, a, b)
+    block_a, block_b = np.where(swap, block_b, block_a), np.where(swap, block_a, block_b)
+    order = np.lexsort((b, a, block_b, block_a))
+    table = np.stack([block_a, block_b, a, b])[:, order]
+    if table.shape[1]:
+        table = table[:, np.append(True, (np.diff(table) != 0).any(axis=0))]
+    cuts = np.flatnonzero(np.append(True, (np.diff(table[:2]) != 0).any(axis=0))[: table.shape[1]])
+    ends = np.append(cuts[1:], table.shape[1])
+    cells = [[table[side, at:to].tobytes() for at, to in zip(cuts, ends)] for side in (2, 3)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(table[0, cuts]), pa.array(table[1, cuts]), *[pa.array(c, pa.binary()) for c in cells]],
+        names=["block_a", "block_b", "a", "b"],
+    )
+
+
+_MET = "block_a long, block_b long, kind int, doc_id long, a binary, b binary"
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by pair of blocks: one row with all distinct pairs of each, and one for each family in them."""
+
+    def done(key: tuple, parts: list) -> pa.RecordBatch:
+        pairs = np.unique(np.concatenate([np.stack([np.frombuffer(x, np.int64) for x in part]) for part in parts], axis=1), axis=1)
+        names = np.unique(pairs).tolist()
+        n = len(names) + 1
+        columns = [[key[0]] * n, [key[1]] * n, [0] + [1] * (n - 1), [None, *names]]
+        columns += [[pairs[side].tobytes()] + [None] * (n - 1) for side in (0, 1)]
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds)], names=["block_a", "block_b", "kind", "doc_id", "a", "b"]
+        )
+
+    key, parts = None, []
+    for batch in batches:
+        for row in batch.to_pylist():
+            own = row["block_a"], row["block_b"]
+            if own != key and parts:
+                yield done(key, parts)
+                parts = []
+            key = own
+            parts.append((row["a"], row["b"]))
+    if parts:
+        yield done(key, parts)
+
+
+def _compare_blocks(size: int) -> Callable:
+    """Overlap of all pairs of each pair of blocks; only those that are linked or can have linked members remain."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpacker = zstandard.ZstdDecompressor()
+
+        def unpacked(names: list, held: dict) -> dict:
+            texts = [unpacker.decompress(held[x][0]) for x in names]
+            prints, first = shingle_sets(pa.array(texts, pa.large_binary()).cast(pa.large_string()), size)
+            return {x: prints[i:j].copy() for x, i, j in zip(names, first[:-1], first[1:])}
+
+        def done(pairs: tuple, held: dict) -> pa.RecordBatch:
+            sets, names, size_held = {}, [], 0
+            for name, (packed, *_) in held.items():
+                names.append(name)
+                size_held += len(packed)
+                if size_held > PACKED_BYTES:
+                    sets |= unpacked(names, held)
+                    names, size_held = [], 0
+            sets |= unpacked(names, held)
+            out = []
+            for a, b in zip(*(np.frombuffer(x, np.int64).tolist() for x in pairs)):
+                small, large = sorted((sets[a], sets[b]), key=len)
+                near = np.minimum(np.searchsorted(large, small), len(large) - 1)
+                common = int((large[near] == small).sum())
+                (_, out_a, low_a), (_, out_b, low_b) = held[a], held[b]
+                linked = 7 * common >= 3 * (len(small) + len(large))
+                if linked or (out_a + out_b and 7 * (common + out_a + out_b) >= 3 * (low_a + low_b)):
+                    out.append((a, b, len(sets[a]), len(sets[b]), common))
+            columns = list(zip(*out)) if out else [[]] * 5
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in columns], names=["a", "b", "na", "nb", "common"]
+            )
+
+        pairs, held = None, {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["kind"] == 0:
+                    if pairs:
+                        yield done(pairs, held)
+                    pairs, held = (row["a"], row["b"]), {}
+                else:
+                    held[row["doc_id"]] = row["packed"], row["outside"], row["low"]
+        if pairs:
+            yield done(pairs, held)
+
+    return run
+
+
+def block_overlaps(texts: DataFrame, pairs: DataFrame, families: DataFrame, size: int, folder: str) -> DataFrame:
+    """a, b, na, nb, common of candidate pairs that are linked or can have linked members.
+
+    A family's text travels once for each pair of blocks that it is compared in, not for each pair.
+    """
+    both = shuffle_partitions(texts.sparkSession), "block_a", "block_b"
+    met = pairs.repartition(*both).sortWithinPartitions("block_a", "block_b").mapInArrow(_met, _MET)
+    met = settle(met, folder, "met")
+    named = met.where("kind = 1").drop("a", "b").join(families, "doc_id")
+    packed = texts.mapInArrow(_packed, "doc_id long, packed binary")
+    shipped = packed.join(named, "doc_id").select("block_a", "block_b", "kind", "doc_id", "packed", "outside", "low")
+    listed = met.where("kind = 0").select("block_a", "block_b", "kind", "a", "b")
+    compared = (
+        listed.unionByName(shipped, allowMissingColumns=True)
+        .repartition(*both)
+        .sortWithinPartitions("block_a", "block_b", "kind")
+        .mapInArrow(_compare_blocks(size), "a long, b long, na long, nb long, common long")
+    )
+    return settle(compared, folder, "met-overlaps")
 
 
 LINKED = "7 * common >= 3 * (na + nb)"
@@ -429,22 +561,32 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     similar = keys.join(leaders, ["band", "key"]).where("rep <> lead")
     similar = similar.select(F.col("rep").alias("a"), F.col("lead").alias("b")).distinct()
     led = overlaps(known, similar, size, folder, "led").where(LINKED).distinct()
-    first = settle(components(led, f"{folder}/first"), folder, "components")
-
+    # A leader is smaller than its followers: two jumps along the smallest leaders
+    # tie most of a component together. What they miss is only compared once more.
+    up = led.groupBy("a").agg(F.min("b").alias("up"))
+    for turn in range(2):
+        up = settle(up, folder, f"up-{turn}")
+        further = up.select(F.col("a").alias("up"), F.col("up").alias("further"))
+        up = up.join(further, "up", "left").select("a", F.coalesce("further", "up").alias("up"))
     roots = led.join(led.select(F.col("a").alias("b")).distinct(), "b", "left_anti")
-    own = Window.partitionBy("a").orderBy("b")
-    family = roots.withColumn("nth", F.row_number().over(own)).where("nth = 1")
-    family = family.select(F.col("a").alias("rep"), F.col("b").alias("family"), (F.col("na") - F.col("common")).alias("outside"))
+    nearest = F.min(F.struct("b", (F.col("na") - F.col("common")).alias("outside"))).alias("root")
+    family = roots.groupBy("a").agg(nearest).select(F.col("a").alias("rep"), "root")
+    # Sets that are alike share a block, of a bounded number of sets.
+    first_band = reps.select("rep", F.get("bands", F.lit(0)).alias("key"))
+    sizes = settle(first_band.groupBy("key").agg(F.ceil(F.count("*") / F.lit(GROUP)).alias("parts")), folder, "sizes")
+    part = F.pmod(F.xxhash64("rep"), F.col("parts"))
+    blocks = first_band.join(sizes, "key").select("rep", F.xxhash64("key", part).alias("block"))
     placed = (
         reps.select("rep", "n")
-        .join(first.withColumnRenamed("node", "rep"), "rep", "left")
+        .join(up.withColumnRenamed("a", "rep"), "rep", "left")
         .join(family, "rep", "left")
         .select(
-            "rep", "n", F.coalesce("component", "rep").alias("component"),
-            F.coalesce("family", "rep").alias("family"), F.coalesce("outside", F.lit(0)).cast("long").alias("outside"),
+            "rep", "n", F.coalesce("up", "rep").alias("component"),
+            F.coalesce("root.b", "rep").alias("family"), F.coalesce("root.outside", F.lit(0)).cast("long").alias("outside"),
         )
     )
-    placed = settle(placed, folder, "placed")
+    owners = blocks.select(F.col("rep").alias("family"), "block")
+    placed = settle(placed.join(owners, "family"), folder, "placed")
 
     often = digests.where("kind = 1").groupBy("hi").agg(F.sum("n").alias("n"))
     often = settle(often, folder, "often")
@@ -470,15 +612,11 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
         .mapInArrow(_with_families(ranges), _CELLS)
         .repartitionById(ranges, F.col("range"))
     )
-    candidates = homes.mapInArrow(_candidates, "a long, b long").distinct()
-    met = overlaps(known, candidates, size, folder, "met")
-
+    candidates = homes.mapInArrow(_candidates, "block_a long, block_b long, a binary, b binary")
     # A member can share what its leader shares and what it has beside its leader.
-    reach = placed.groupBy("family").agg(F.max("outside").alias("outside"), F.min("n").alias("n"))
+    reach = placed.groupBy(F.col("family").alias("doc_id")).agg(F.max("outside").alias("outside"), F.min("n").alias("low"))
+    met = block_overlaps(known, candidates, reach, size, folder)
     able = met.where(f"not ({LINKED})")
-    for side in ("a", "b"):
-        able = able.join(reach.select([F.col(c).alias(f"{side}_{c}" if c != "family" else side) for c in reach.columns]), side)
-    able = able.where("7 * (common + a_outside + b_outside) >= 3 * (a_n + b_n) and a_outside + b_outside > 0")
     able = able.select("a", "b", "common")
     for side in ("a", "b"):
         members = placed.select(
@@ -491,8 +629,16 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     if not able.isEmpty():
         links = links.unionByName(overlaps(known, able, size, folder, "members").where(LINKED).select("a", "b"))
 
-    last = components(links, f"{folder}/last").withColumnRenamed("node", "rep")
-    classes = reps.join(last, "rep", "left").select("n", "hi", "lo", "rep", F.coalesce("component", "rep").alias("component"))
+    # Only links between different first components are left to follow.
+    known_as = placed.groupBy("rep").agg(F.min("component").alias("component"))
+    for side in ("a", "b"):
+        links = links.join(known_as.select(F.col("rep").alias(side), F.col("component").alias(f"{side}_part")), side)
+    apart = links.where("a_part <> b_part").select(F.col("a_part").alias("a"), F.col("b_part").alias("b"))
+    merged = components(apart, folder).select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    classes = (
+        reps.drop("bands").join(known_as, "rep").join(merged, "component", "left")
+        .select("n", "hi", "lo", "rep", F.coalesce("whole", "component").alias("component"))
+    )
     classes = settle(classes, folder, "classes")
     alone = sets.where("n = 0 or doc_id is null").select(
         "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("doc_id").alias("representative")

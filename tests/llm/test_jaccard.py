@@ -72,6 +72,7 @@ def test_dense_groups_equal_brute_force(spark, monkeypatch, seed, group, block):
     """Many sets near the threshold; small groups and blocks, so that all of their borders are crossed."""
     monkeypatch.setattr(jaccard, "GROUP", group)
     monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "POSTINGS", block)
     docs = dense_group(seed)
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
     assert result(jaccard.near_duplicates(df)) == brute(docs)
