@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -21,13 +22,20 @@ SEED = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Least share of the highest possible score.
 THRESHOLD = 0.5
+#: Items, and bytes of their texts, that are sent to all tasks at once.
 BLOCK_ITEMS = 2000
-_WORD = re.compile(r"[^\W_]+")
+BLOCK_BYTES = 16 << 20
+#: What parts words: all of ASCII but letters and digits, and the marks at U+0080 and U+2000.
+_PARTS = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
+_MARKS = re.compile(rb"\xc2[\x80-\xbf]|\xe2[\x80\x81][\x80-\xbf]")
 
 
 def normal_words(text: str | None) -> list[str]:
     """Letters and digits in lower case, without punctuation."""
-    return _WORD.findall((text or "").lower())
+    data = (text or "").lower().encode()
+    if b"\xc2" in data or b"\xe2" in data:
+        data = _MARKS.sub(b" ", data)
+    return data.translate(_PARTS).decode().split()
 
 
 class Items:
@@ -61,9 +69,8 @@ class Items:
         return np.where(known, out, -1)
 
     def numbers(self, text: str | None) -> np.ndarray:
-        get = self.vocabulary.get
         words = normal_words(text)
-        return np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        return np.fromiter(map(self.vocabulary.get, words, repeat(-1)), np.int64, len(words))
 
     def hits(self, words: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of allowed seeds in a text, and the seeds."""
@@ -180,7 +187,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, b
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    blocks = max(1, -(-items.count() // block_items))
+    total = items.agg(F.count("*").alias("rows"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    blocks = max(1, -(-total["rows"] // block_items), -(-(total["bytes"] or 0) // BLOCK_BYTES))
     found = None
     for number in range(blocks):
         # A block is bounded, so it may pass through the driver.
