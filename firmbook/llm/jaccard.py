@@ -4,19 +4,18 @@ Equal sets form a class, and one member stands for it. The join of these works
 by set relations:
 
 1. Highly similar sets first. Sets that agree in a pair of min-hashes are held
-   against one leader per agreement, exactly. A set linked with a leader joins
-   the leader's family; families give first components.
+   against one leader per agreement, exactly. What a leader is linked with need
+   not be found again for a set linked with the leader: the set takes over the
+   leader's answers, and with them its component.
 2. The rest by prefix index. With all shingles in one global order, rare ones
    first, two linked sets share one of their first floor(n / 4) + 1 shingles.
    Lists of a single set are dropped, which tells how many of a set's first
-   shingles another set can share at all. The other lists are kept per family,
-   sorted by set size and cut in blocks; two blocks are skipped when sizes,
-   shingles left behind the position, or shareable shingles can't reach the
-   overlap. Lists within one component are skipped as a whole.
-3. What remains are pairs of families not yet connected. The leaders' overlap is
-   computed; a member Y outside its leader by d shingles can share at most d
-   more, so most members' answers follow from it, and only pairs that still can
-   reach the overlap are compared themselves.
+   shingles another set can share at all. The other lists are sorted by set size
+   and cut in blocks; two blocks are skipped when sizes, shingles left behind
+   the position, or shareable shingles can't reach the overlap. Lists within one
+   component are skipped as a whole.
+3. The pairs that remain are compared by blocks of alike sets: a set's text
+   travels once to each block that has candidates for it.
 
 Shingles are compared by 64-bit fingerprints.
 """
@@ -42,8 +41,10 @@ BANDS = 4
 FREQUENT = 1 << 18
 #: Bits of a set's fingerprint that tell equal sets from others in an index list.
 TAG = np.uint64((1 << 48) - 1)
-#: Members of a family that one task compares with their leader.
+#: Sets that one task compares with their leader; alike sets of a block.
 GROUP = 256
+#: Sets that one task compares with a block.
+GUESTS = 1024
 #: Shingles, and index entries, that a task gathers before it counts or packs them.
 BLOCK = 1 << 20
 POSTINGS = 1 << 18
@@ -291,7 +292,7 @@ def _shared_lists(ranges: int) -> Callable:
     return run
 
 
-_KNOWN = ("rep", "component", "family", "n", "block")
+_KNOWN = ("rep", "component", "n", "block")
 
 
 def _known_cells(ranges: int) -> Callable:
@@ -303,19 +304,19 @@ def _known_cells(ranges: int) -> Callable:
     return run
 
 
-def _with_families(ranges: int) -> Callable:
-    """Entries of representatives with component, family, size, reach and rank, sent back to their shingles' ranges.
+def _with_components(ranges: int) -> Callable:
+    """Entries of representatives with component, size, reach, rank and block, sent back to their shingles' ranges.
 
     reach: the most shingles that a set whose prefix ends no earlier can share with this one.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = _receive(batches, {0: 3, 1: 5, 2: 2})
+        got = _receive(batches, {0: 3, 1: 4, 2: 2})
         (prints, ids, left), known, (owners, ranks) = got[0], got[1], got[2]
         if not len(prints) or not len(known[0]):
             return
         order = np.argsort(known[0])
-        reps, component, family, n, block = (c[order] for c in known)
+        reps, component, n, block = (c[order] for c in known)
         order = np.argsort(owners, kind="stable")
         rank = ranks[order][np.searchsorted(owners[order], reps)]
         near = np.minimum(np.searchsorted(reps, ids), len(reps) - 1)
@@ -323,105 +324,91 @@ def _with_families(ranges: int) -> Callable:
         near, prints = near[own], prints[own]
         shared = np.bincount(near, minlength=len(reps)).astype(np.uint64)
         reach = shared + n - n // np.uint64(4) - np.uint64(1)
-        columns = [prints, *[c[near] for c in (component, family, n, reach, rank, block)], left[own]]
+        columns = [prints, *[c[near] for c in (reps, component, n, reach, rank, block)], left[own]]
         yield from _send(0, _range_of(prints, ranges), columns, ranges)
 
     return run
 
 
 @dataclass
-class Families:
-    """The families of one index list, by smallest set size; all numbers are bounds over their members."""
+class Entries:
+    """Entries of one index list, or of several."""
 
-    family: np.ndarray
+    rep: np.ndarray
     component: np.ndarray
-    low: np.ndarray
-    high: np.ndarray
-    left: np.ndarray
+    n: np.ndarray
     reach: np.ndarray
-    first: np.ndarray
-    last: np.ndarray
+    rank: np.ndarray
     block: np.ndarray
+    left: np.ndarray
 
-    def side(self, rows) -> dict[str, np.ndarray]:
-        return {f.name: getattr(self, f.name)[rows] for f in fields(self)}
+    def at(self, rows) -> Entries:
+        return Entries(*[getattr(self, f.name)[rows] for f in fields(self)])
 
     def pairs(self) -> Iterator[tuple[np.ndarray, ...]]:
-        """Pairs of different components that can reach the overlap, block by block: families and their blocks."""
-        starts = np.arange(0, len(self.low), SKIP)
-        high, left, reach = (np.maximum.reduceat(x, starts) for x in (self.high, self.left, self.reach))
+        """Pairs of a list sorted by n that can be linked, block by block: sets and their blocks."""
+        starts = np.arange(0, len(self.n), SKIP)
+        most, left, reach = (np.maximum.reduceat(x, starts) for x in (self.n, self.left, self.reach))
         for a, i in enumerate(starts):
             for b in range(a, len(starts)):
-                need = 3 * (self.low[i] + self.low[starts[b]])
-                if 3 * self.low[starts[b]] > 4 * high[a]:
+                least = self.n[starts[b]]
+                if 3 * least > 4 * most[a]:
                     break
-                if 7 * min(1 + left[a], 1 + left[b], max(reach[a], reach[b])) < need:
+                if 7 * min(1 + left[a], 1 + left[b], max(reach[a], reach[b])) < 3 * (self.n[i] + least):
                     continue
-                yield from self._block(slice(i, i + SKIP), slice(starts[b], starts[b] + SKIP), a == b)
-
-    def _block(self, one: slice, two: slice, same: bool) -> Iterator[tuple[np.ndarray, ...]]:
-        a = {k: x[:, None] for k, x in self.side(one).items()}
-        good = possible(a, {k: x[None, :] for k, x in self.side(two).items()})
-        i, j = np.nonzero(np.triu(good, 1) if same else good)
-        if len(i):
-            yield tuple(getattr(self, k)[part][at] for k in ("family", "block") for part, at in ((one, i), (two, j)))
+                one, two = self.at(slice(i, i + SKIP)), self.at(slice(starts[b], starts[b] + SKIP))
+                good = possible(one.at((slice(None), None)), two.at((None, slice(None))))
+                i_good, j_good = np.nonzero(np.triu(good, 1) if a == b else good)
+                if len(i_good):
+                    yield one.rep[i_good], two.rep[j_good], one.block[i_good], two.block[j_good]
 
 
-def possible(a: dict[str, np.ndarray], b: dict[str, np.ndarray]) -> np.ndarray:
-    """Whether members of two families can be linked; a is not larger by `low` than b."""
-    # The set whose prefix ends first bounds the overlap; it is not always known which one it is.
-    either = np.maximum(a["reach"], b["reach"])
-    most = np.where(a["last"] < b["first"], a["reach"], np.where(b["last"] < a["first"], b["reach"], either))
-    good = 7 * np.minimum(most, 1 + np.minimum(a["left"], b["left"])) >= 3 * (a["low"] + b["low"])
-    return good & (3 * b["low"] <= 4 * a["high"]) & (a["component"] != b["component"])
+def possible(a: Entries, b: Entries) -> np.ndarray:
+    """Whether two sets can be linked that are not known to be connected; a is not larger than b."""
+    # The set whose prefix ends first bounds the overlap; on a tie of ranks either may.
+    either = np.maximum(a.reach, b.reach)
+    most = np.where(a.rank < b.rank, a.reach, np.where(b.rank < a.rank, b.reach, either))
+    good = 7 * np.minimum(most, 1 + np.minimum(a.left, b.left)) >= 3 * (a.n + b.n)
+    return good & (3 * b.n <= 4 * a.n) & (a.component != b.component)
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of families of different components that share a prefix shingle and can be linked, by pair of blocks."""
+    """Pairs of sets of different components that share a prefix shingle and can be linked, by host block."""
     columns = _receive(batches, {0: 8})[0]
-    order = np.lexsort((columns[2], columns[0]))
-    prints, component, family, n, reach, rank, block, left = (c[order] for c in columns)
-    n, reach, left = n.astype(np.int64), reach.astype(np.int64), left.astype(np.int64)
+    order = np.lexsort((columns[3], columns[0]))  # by shingle, then size
+    prints, rep, component, n, reach, rank, block, left = (c[order] for c in columns)
     if not len(prints):
         return
+    n, reach, left = (x.astype(np.int64) for x in (n, reach, left))
+    whole = Entries(rep, component, n, reach, rank, block, left)
     cuts = np.flatnonzero(np.append(True, prints[1:] != prints[:-1]))
     mixed = np.minimum.reduceat(component, cuts) != np.maximum.reduceat(component, cuts)
     ends = np.append(cuts[1:], len(prints))
     cuts, ends = cuts[mixed], ends[mixed]
-    # Lists of two at once.
-    two = cuts[ends - cuts == 2]
-    small = np.where(n[two] <= n[two + 1], two, two + 1)
-    large = 2 * two + 1 - small
-    whole = Families(family, component, n, n, left, reach, rank, rank, block)
-    good = possible(whole.side(small), whole.side(large))
-    held = [(family[small[good]], family[large[good]], block[small[good]], block[large[good]])]
-    size = len(held[0][0])
+    two = cuts[ends - cuts == 2]  # lists of two, all at once
+    good = two[possible(whole.at(two), whole.at(two + 1))]
+    held, size = [(rep[good], rep[good + 1], block[good], block[good + 1])], len(good)
     for at, to in zip(cuts[ends - cuts > 2], ends[ends - cuts > 2]):
-        each = np.flatnonzero(np.append(True, family[at + 1 : to] != family[at : to - 1]))
-        lowest = {k: np.minimum.reduceat(x[at:to], each) for k, x in (("low", n), ("first", rank))}
-        highest = {
-            k: np.maximum.reduceat(x[at:to], each) for k, x in (("high", n), ("left", left), ("reach", reach), ("last", rank))
-        }
-        same = {k: x[at + each] for k, x in (("family", family), ("component", component), ("block", block))}
-        bounds = same | lowest | highest
-        by_size = np.argsort(bounds["low"], kind="stable")
-        for pair in Families(**{k: x[by_size] for k, x in bounds.items()}).pairs():
+        for pair in whole.at(slice(at, to)).pairs():
             held.append(pair)
             size += len(pair[0])
-            if size > 1 << 20:
+            if size > 1 << 18:
                 yield _pairs(held)
                 held, size = [], 0
     yield _pairs(held)
 
 
 def _pairs(held: list) -> pa.RecordBatch:
-    """Distinct pairs, one row for each pair of blocks."""
+    """Distinct pairs as (member, guest), one row for each host block and block of guests.
+
+    The host is the block with the higher number, so of the larger class of alike sets.
+    """
     a, b, block_a, block_b = (np.concatenate(x).view(np.int64) for x in zip(*held))
-    swap = (block_a > block_b) | ((block_a == block_b) & (a > b))
-    a, b = np.where(swap, b, a), np.where(swap, a, b)
-    block_a, block_b = np.where(swap, block_b, block_a), np.where(swap, block_a, block_b)
-    order = np.lexsort((b, a, block_b, block_a))
-    table = np.stack([block_a, block_b, a, b])[:, order]
+    swap = (block_a < block_b) | ((block_a == block_b) & (a > b))
+    host, other = np.maximum(block_a, block_b), np.minimum(block_a, block_b)
+    member, guest = np.where(swap, b, a), np.where(swap, a, b)
+    order = np.lexsort((member, guest, other, host))
+    table = np.stack([host, other, member, guest])[:, order]
     if table.shape[1]:
         table = table[:, np.append(True, (np.diff(table) != 0).any(axis=0))]
     cuts = np.flatnonzero(np.append(True, (np.diff(table[:2]) != 0).any(axis=0))[: table.shape[1]])
@@ -429,108 +416,116 @@ def _pairs(held: list) -> pa.RecordBatch:
     cells = [[table[side, at:to].tobytes() for at, to in zip(cuts, ends)] for side in (2, 3)]
     return pa.RecordBatch.from_arrays(
         [pa.array(table[0, cuts]), pa.array(table[1, cuts]), *[pa.array(c, pa.binary()) for c in cells]],
-        names=["block_a", "block_b", "a", "b"],
+        names=["host", "other", "member", "guest"],
     )
 
 
-_MET = "block_a long, block_b long, kind int, doc_id long, a binary, b binary"
+_MET = "host long, kind int, doc_id long, partners binary"
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by pair of blocks: one row with all distinct pairs of each, and one for each family in them."""
-
-    def done(key: tuple, parts: list) -> pa.RecordBatch:
-        pairs = np.unique(np.concatenate([np.stack([np.frombuffer(x, np.int64) for x in part]) for part in parts], axis=1), axis=1)
-        names = np.unique(pairs).tolist()
-        n = len(names) + 1
-        columns = [[key[0]] * n, [key[1]] * n, [0] + [1] * (n - 1), [None, *names]]
-        columns += [[pairs[side].tobytes()] + [None] * (n - 1) for side in (0, 1)]
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
+    """Rows sorted by host and other block: a row for each member of a host in a pair, and for each guest with its partners."""
+
+    def done(host: int, parts: list, members: set) -> pa.RecordBatch:
+        pairs = np.concatenate([np.stack([np.frombuffer(x, np.int64) for x in part]) for part in parts], axis=1)
+        pairs = np.unique(pairs[::-1], axis=1)  # by guest, then member
+        fresh = sorted(set(pairs[1].tolist()) - members)
+        members.update(fresh)
+        cuts = np.flatnonzero(np.append(True, pairs[0, 1:] != pairs[0, :-1]))
+        partners = [pairs[1, at:to].tobytes() for at, to in zip(cuts, np.append(cuts[1:], pairs.shape[1]))]
+        n = len(fresh) + len(cuts)
+        columns = [[host] * n, [0] * len(fresh) + [1] * len(cuts), fresh + pairs[0, cuts].tolist(), [None] * len(fresh) + partners]
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary())
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)], names=["block_a", "block_b", "kind", "doc_id", "a", "b"]
+            [pa.array(c, k) for c, k in zip(columns, kinds)], names=["host", "kind", "doc_id", "partners"]
         )
 
-    key, parts = None, []
+    key, parts, members = (None, None), [], set()
     for batch in batches:
         for row in batch.to_pylist():
-            own = row["block_a"], row["block_b"]
+            own = row["host"], row["other"]
             if own != key and parts:
-                yield done(key, parts)
+                yield done(key[0], parts, members)
                 parts = []
+            if own[0] != key[0]:
+                members = set()
             key = own
-            parts.append((row["a"], row["b"]))
+            parts.append((row["member"], row["guest"]))
     if parts:
-        yield done(key, parts)
+        yield done(key[0], parts, members)
 
 
 def _compare_blocks(size: int) -> Callable:
-    """Overlap of all pairs of each pair of blocks; only those that are linked or can have linked members remain."""
+    """Guests against their partners in a host block; the linked pairs.
+
+    Rows are sorted: a host's members come before its guests.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpacker = zstandard.ZstdDecompressor()
 
-        def unpacked(names: list, held: dict) -> dict:
-            texts = [unpacker.decompress(held[x][0]) for x in names]
+        def sets_of(rows: list) -> list[tuple]:
+            texts = [unpacker.decompress(r["packed"]) for r in rows]
             prints, first = shingle_sets(pa.array(texts, pa.large_binary()).cast(pa.large_string()), size)
-            return {x: prints[i:j].copy() for x, i, j in zip(names, first[:-1], first[1:])}
-
-        def done(pairs: tuple, held: dict) -> pa.RecordBatch:
-            sets, names, size_held = {}, [], 0
-            for name, (packed, *_) in held.items():
-                names.append(name)
-                size_held += len(packed)
-                if size_held > PACKED_BYTES:
-                    sets |= unpacked(names, held)
-                    names, size_held = [], 0
-            sets |= unpacked(names, held)
+            return [(r["doc_id"], prints[i:j].copy()) for r, i, j in zip(rows, first[:-1], first[1:])]
+
+        def compared(guests: list, members: dict) -> pa.RecordBatch:
             out = []
-            for a, b in zip(*(np.frombuffer(x, np.int64).tolist() for x in pairs)):
-                small, large = sorted((sets[a], sets[b]), key=len)
-                near = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                common = int((large[near] == small).sum())
-                (_, out_a, low_a), (_, out_b, low_b) = held[a], held[b]
-                linked = 7 * common >= 3 * (len(small) + len(large))
-                if linked or (out_a + out_b and 7 * (common + out_a + out_b) >= 3 * (low_a + low_b)):
-                    out.append((a, b, len(sets[a]), len(sets[b]), common))
-            columns = list(zip(*out)) if out else [[]] * 5
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns], names=["a", "b", "na", "nb", "common"]
-            )
-
-        pairs, held = None, {}
+            for row, (b, own) in zip(guests, sets_of(guests)):
+                for a in np.frombuffer(row["partners"], np.int64).tolist():
+                    small, large = sorted((own, members[a]), key=len)
+                    near = np.minimum(np.searchsorted(large, small), len(large) - 1)
+                    if 7 * int((large[near] == small).sum()) >= 3 * (len(small) + len(large)):
+                        out.append((a, b))
+            columns = list(zip(*out)) if out else [[]] * 2
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
+
+        key, members = None, {}
         for batch in batches:
-            for row in batch.to_pylist():
-                if row["kind"] == 0:
-                    if pairs:
-                        yield done(pairs, held)
-                    pairs, held = (row["a"], row["b"]), {}
+            rows, at = batch.to_pylist(), 0
+            while at < len(rows):
+                own, kind = (rows[at]["host"], rows[at]["part"]), rows[at]["kind"]
+                to, held = at, 0
+                while to < len(rows) and held < PACKED_BYTES and (rows[to]["host"], rows[to]["part"], rows[to]["kind"]) == (*own, kind):
+                    held += len(rows[to]["packed"])
+                    to += 1
+                if own != key:
+                    key, members = own, {}
+                if kind == 0:
+                    members |= dict(sets_of(rows[at:to]))
                 else:
-                    held[row["doc_id"]] = row["packed"], row["outside"], row["low"]
-        if pairs:
-            yield done(pairs, held)
+                    yield compared(rows[at:to], members)
+                at = to
 
     return run
 
 
-def block_overlaps(texts: DataFrame, pairs: DataFrame, families: DataFrame, size: int, folder: str) -> DataFrame:
-    """a, b, na, nb, common of candidate pairs that are linked or can have linked members.
+def block_links(texts: DataFrame, pairs: DataFrame, size: int, folder: str) -> DataFrame:
+    """a, b of the candidate pairs that are linked.
 
-    A family's text travels once for each pair of blocks that it is compared in, not for each pair.
+    A set's text travels once for each block of the sets that it is compared with, not for each pair.
     """
-    both = shuffle_partitions(texts.sparkSession), "block_a", "block_b"
-    met = pairs.repartition(*both).sortWithinPartitions("block_a", "block_b").mapInArrow(_met, _MET)
+    partitions = shuffle_partitions(texts.sparkSession)
+    met = pairs.repartition(partitions, "host").sortWithinPartitions("host", "other").mapInArrow(_met, _MET)
     met = settle(met, folder, "met")
-    named = met.where("kind = 1").drop("a", "b").join(families, "doc_id")
+    # The guests of a block are dealt to as many tasks as keep a task's share bounded; each gets the block.
+    parts = F.ceil(F.count("*") / F.lit(GUESTS)).cast("int")
+    hosts = settle(met.where("kind = 1").groupBy("host").agg(parts.alias("parts")), folder, "hosts")
+    dealt = met.join(hosts, "host").select(
+        "host", "kind", "doc_id", "partners",
+        F.explode(
+            F.when(F.col("kind") == 0, F.sequence(F.lit(0), F.col("parts") - 1))
+            .otherwise(F.array(F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int")))
+        ).alias("part"),
+    )
     packed = texts.mapInArrow(_packed, "doc_id long, packed binary")
-    shipped = packed.join(named, "doc_id").select("block_a", "block_b", "kind", "doc_id", "packed", "outside", "low")
-    listed = met.where("kind = 0").select("block_a", "block_b", "kind", "a", "b")
     compared = (
-        listed.unionByName(shipped, allowMissingColumns=True)
-        .repartition(*both)
-        .sortWithinPartitions("block_a", "block_b", "kind")
-        .mapInArrow(_compare_blocks(size), "a long, b long, na long, nb long, common long")
+        packed.join(dealt, "doc_id")
+        .repartition(partitions, "host", "part")
+        .sortWithinPartitions("host", "part", "kind")
+        .mapInArrow(_compare_blocks(size), "a long, b long")
     )
-    return settle(compared, folder, "met-overlaps")
+    return settle(compared, folder, "met-links")
 
 
 LINKED = "7 * common >= 3 * (na + nb)"
@@ -557,10 +552,10 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 
     keys = reps.select("rep", F.posexplode("bands").alias("band", "key"))
     leaders = keys.groupBy("band", "key").agg(F.min("rep").alias("lead"), F.count("*").alias("sets"))
-    leaders = settle(leaders.where("sets > 1").drop("sets"), folder, "leaders")
-    similar = keys.join(leaders, ["band", "key"]).where("rep <> lead")
-    similar = similar.select(F.col("rep").alias("a"), F.col("lead").alias("b")).distinct()
-    led = overlaps(known, similar, size, folder, "led").where(LINKED).distinct()
+    leaders = settle(leaders.where("sets > 1"), folder, "leaders")
+    similar = settle(keys.join(leaders, ["band", "key"]), folder, "similar")
+    asked = similar.where("rep <> lead").select(F.col("rep").alias("a"), F.col("lead").alias("b")).distinct()
+    led = overlaps(known, asked, size, folder, "led").where(LINKED).distinct()
     # A leader is smaller than its followers: two jumps along the smallest leaders
     # tie most of a component together. What they miss is only compared once more.
     up = led.groupBy("a").agg(F.min("b").alias("up"))
@@ -568,25 +563,15 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
         up = settle(up, folder, f"up-{turn}")
         further = up.select(F.col("a").alias("up"), F.col("up").alias("further"))
         up = up.join(further, "up", "left").select("a", F.coalesce("further", "up").alias("up"))
-    roots = led.join(led.select(F.col("a").alias("b")).distinct(), "b", "left_anti")
-    nearest = F.min(F.struct("b", (F.col("na") - F.col("common")).alias("outside"))).alias("root")
-    family = roots.groupBy("a").agg(nearest).select(F.col("a").alias("rep"), "root")
-    # Sets that are alike share a block, of a bounded number of sets.
-    first_band = reps.select("rep", F.get("bands", F.lit(0)).alias("key"))
-    sizes = settle(first_band.groupBy("key").agg(F.ceil(F.count("*") / F.lit(GROUP)).alias("parts")), folder, "sizes")
-    part = F.pmod(F.xxhash64("rep"), F.col("parts"))
-    blocks = first_band.join(sizes, "key").select("rep", F.xxhash64("key", part).alias("block"))
-    placed = (
-        reps.select("rep", "n")
-        .join(up.withColumnRenamed("a", "rep"), "rep", "left")
-        .join(family, "rep", "left")
-        .select(
-            "rep", "n", F.coalesce("up", "rep").alias("component"),
-            F.coalesce("root.b", "rep").alias("family"), F.coalesce("root.outside", F.lit(0)).cast("long").alias("outside"),
-        )
-    )
-    owners = blocks.select(F.col("rep").alias("family"), "block")
-    placed = settle(placed.join(owners, "family"), folder, "placed")
+    # A set's block is a bounded part of its largest min-hash group; higher numbers for larger groups.
+    largest = similar.groupBy("rep").agg(F.max(F.struct("sets", "band", "key")).alias("of"))
+    share = F.pmod(F.xxhash64("rep"), F.ceil(F.col("of.sets") / F.lit(GROUP)))
+    rank = F.coalesce(F.log2("of.sets").cast("long"), F.lit(0).cast("long"))
+    mark = F.when(F.col("of").isNull(), F.xxhash64("rep")).otherwise(F.xxhash64("of.band", "of.key", share))
+    number = F.shiftleft(rank, 56).bitwiseOR(F.shiftrightunsigned(mark, 8))
+    blocks = reps.select("rep").join(largest, "rep", "left").select("rep", number.alias("block"))
+    placed = reps.select("rep", "n").join(up.withColumnRenamed("a", "rep"), "rep", "left").join(blocks, "rep")
+    placed = settle(placed.select("rep", F.coalesce("up", "rep").alias("component"), "n", "block"), folder, "placed")
 
     often = digests.where("kind = 1").groupBy("hi").agg(F.sum("n").alias("n"))
     often = settle(often, folder, "often")
@@ -609,26 +594,11 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
         .mapInArrow(_shared_lists(ranges), _CELLS)
         .unionByName(placed.select(*_KNOWN).mapInArrow(_known_cells(ranges), _CELLS))
         .repartitionById(ranges, F.col("range"))
-        .mapInArrow(_with_families(ranges), _CELLS)
+        .mapInArrow(_with_components(ranges), _CELLS)
         .repartitionById(ranges, F.col("range"))
     )
-    candidates = homes.mapInArrow(_candidates, "block_a long, block_b long, a binary, b binary")
-    # A member can share what its leader shares and what it has beside its leader.
-    reach = placed.groupBy(F.col("family").alias("doc_id")).agg(F.max("outside").alias("outside"), F.min("n").alias("low"))
-    met = block_overlaps(known, candidates, reach, size, folder)
-    able = met.where(f"not ({LINKED})")
-    able = able.select("a", "b", "common")
-    for side in ("a", "b"):
-        members = placed.select(
-            F.col("family").alias(side), F.col("rep").alias(f"{side}_rep"), F.col("n").alias(f"{side}_n"), F.col("outside").alias(f"{side}_out")
-        )
-        able = able.join(members, side)
-    able = able.where("7 * (common + a_out + b_out) >= 3 * (a_n + b_n) and (a_rep <> a or b_rep <> b)")
-    able = settle(able.select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b")).distinct(), folder, "able")
-    links = led.select("a", "b").unionByName(met.where(LINKED).select("a", "b"))
-    if not able.isEmpty():
-        links = links.unionByName(overlaps(known, able, size, folder, "members").where(LINKED).select("a", "b"))
-
+    candidates = homes.mapInArrow(_candidates, "host long, other long, member binary, guest binary")
+    links = led.select("a", "b").unionByName(block_links(known, candidates, size, folder))
     # Only links between different first components are left to follow.
     known_as = placed.groupBy("rep").agg(F.min("component").alias("component"))
     for side in ("a", "b"):
