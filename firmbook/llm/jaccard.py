@@ -41,7 +41,9 @@ BANDS = 4
 FREQUENT = 1 << 18
 #: Bits of a set's fingerprint that tell equal sets from others in an index list.
 TAG = np.uint64((1 << 48) - 1)
-#: Sets that one task compares with their leader; alike sets of a block.
+#: Sets that are compared with one copy of their leader.
+MEMBERS = 64
+#: Alike sets of a block.
 GROUP = 256
 #: Sets that one task compares with a block.
 GUESTS = 1024
@@ -159,7 +161,7 @@ def _compare(size: int) -> Callable:
 def overlaps(texts: DataFrame, pairs: DataFrame, size: int, folder: str, name: str) -> DataFrame:
     """a, b, na, nb, common: set sizes and overlap of each pair (a, b), b's many partners spread over tasks."""
     pairs = settle(pairs, folder, f"{name}-pairs")
-    parts = F.ceil(F.count("*") / F.lit(GROUP)).cast("int")
+    parts = F.ceil(F.count("*") / F.lit(MEMBERS)).cast("int")
     groups = settle(pairs.groupBy("b").agg(parts.alias("parts")), folder, f"{name}-groups")
     members = pairs.join(groups, "b").select(
         F.col("a").alias("doc_id"), F.col("b").alias("lead"),

@@ -71,6 +71,7 @@ def dense_group(seed: int, size: int = 240) -> list[tuple]:
 def test_dense_groups_equal_brute_force(spark, monkeypatch, seed, group, block):
     """Many sets near the threshold; small groups and blocks, so that all of their borders are crossed."""
     monkeypatch.setattr(jaccard, "GROUP", group)
+    monkeypatch.setattr(jaccard, "MEMBERS", group)
     monkeypatch.setattr(jaccard, "BLOCK", block)
     monkeypatch.setattr(jaccard, "POSTINGS", block)
     docs = dense_group(seed)
