@@ -1,10 +1,10 @@
 """Texts that hold a test item, whole, edited or reworded in places.
 
-Rare word n-grams of the items are the seeds: the number of texts with each is
-counted over the whole corpus, and of each item the rarer half is kept, whatever
-the counts are, so an item that leaked often keeps seeds too. Where a text has a
-seed, the stretch around it is aligned with the item by Smith-Waterman over
-words. Items are taken in blocks of bounded size, each sent to all tasks.
+A text is aligned with an item by Smith-Waterman over words wherever the
+threshold can be reached at all. Two bounds, both exact, say where: the words of
+the item that the text has anywhere, and the best stretch of the text if each
+word of the item counted as a match and each other word as the cheapest edit.
+Items are taken in blocks of bounded size, each sent to all tasks.
 """
 
 from __future__ import annotations
@@ -18,10 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SEED = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Least share of the highest possible score.
 THRESHOLD = 0.5
+#: A match also scores as much as so many words in a row, or as the whole of a shorter item.
+SEED = 3
 #: Items, and bytes of their texts, that are sent to all tasks at once.
 BLOCK_ITEMS = 2000
 BLOCK_BYTES = 16 << 20
@@ -39,47 +40,36 @@ def normal_words(text: str | None) -> list[str]:
 
 
 class Items:
-    """A block of test items: word numbers, and n-grams as numbers of them."""
+    """A block of test items: word numbers, and for each word the items that have it, how often."""
 
-    def __init__(self, rows: list[tuple[int, str]], size: int = SEED):
-        self.size = size
+    def __init__(self, rows: list[tuple[int, str]]):
         self.ids = [i for i, _ in rows]
         words = [normal_words(text) for _, text in rows]
         self.vocabulary = {w: n for n, w in enumerate(sorted({w for ws in words for w in ws}))}
         self.words = [np.array([self.vocabulary[w] for w in ws], np.int64) for ws in words]
-        places: dict[int, list[tuple[int, int]]] = {}
-        for item, own in enumerate(self.words):
-            for at, gram in enumerate(self.grams(own).tolist()):
-                places.setdefault(gram, []).append((item, at))
-        self.seeds = np.array(sorted(places), np.int64)
-        self.places = [places[s] for s in self.seeds.tolist()]
-
-    def grams(self, words: np.ndarray) -> np.ndarray:
-        """The number of each n-gram, -1 if a word is no item's; a short text is one n-gram."""
-        size = min(self.size, len(words))
-        if not size:
-            return np.zeros(0, np.int64)
-        base = len(self.vocabulary) + 1
-        out = np.zeros(len(words) - size + 1, np.int64)
-        known = np.ones(len(out), bool)
-        for k in range(size):
-            part = words[k : len(words) - size + 1 + k]
-            out = out * base + part + 1
-            known &= part >= 0
-        return np.where(known, out, -1)
+        self.lengths = np.array([len(ws) for ws in words], np.int64)
+        owner = np.repeat(np.arange(len(words)), self.lengths)
+        flat = np.concatenate([*self.words, np.zeros(0, np.int64)])
+        pairs, self.times = np.unique(np.stack([flat, owner]), axis=1, return_counts=True)
+        self.owners = pairs[1]
+        self.first = np.searchsorted(pairs[0], np.arange(len(self.vocabulary) + 1))
+
+    def least(self, threshold: float) -> np.ndarray:
+        """The score each item must reach; more than any can for one without words."""
+        least = np.maximum(threshold * MATCH * self.lengths, MATCH * np.minimum(SEED, self.lengths))
+        return np.where(self.lengths > 0, least, np.inf)
 
     def numbers(self, text: str | None) -> np.ndarray:
         words = normal_words(text)
         return np.fromiter(map(self.vocabulary.get, words, repeat(-1)), np.int64, len(words))
 
-    def hits(self, words: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of allowed seeds in a text, and the seeds."""
-        grams = self.grams(words)
-        if not len(grams) or not len(self.seeds):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        near = np.minimum(np.searchsorted(self.seeds, grams), len(self.seeds) - 1)
-        found = np.flatnonzero((self.seeds[near] == grams) & allowed[near])
-        return found, near[found]
+    def able(self, words: np.ndarray, least: np.ndarray) -> np.ndarray:
+        """The items of which a text has so many words that the least score can be reached."""
+        own = np.unique(words[words >= 0])
+        starts, many = self.first[own], self.first[own + 1] - self.first[own]
+        at = np.repeat(starts - np.cumsum(many) + many, many) + np.arange(many.sum())
+        held = np.bincount(self.owners[at], self.times[at], minlength=len(self.words))
+        return np.flatnonzero(MATCH * held >= least)
 
 
 def align(text: np.ndarray, item: np.ndarray) -> tuple[int, int, int]:
@@ -109,51 +99,36 @@ def align(text: np.ndarray, item: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
-def _count(items: Items):
-    """Number of texts of a task with each seed."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, allowed = np.zeros(len(items.seeds), np.int64), np.ones(len(items.seeds), bool)
-        for batch in batches:
-            for text in batch.column("text"):
-                _, seeds = items.hits(items.numbers(text.as_py()), allowed)
-                counts[np.unique(seeds)] += 1
-        some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["seed", "texts"])
+def _stretches(at: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Parts of a text that can reach a score; at: places of words that the item has.
 
-    return run
-
-
-def _stretches(text: np.ndarray, at: np.ndarray, places: list[int], length: int) -> list[tuple[int, int]]:
-    """Parts of the text around seeds, with room for inserted words, overlapping ones merged."""
-    spare = length // 2 + 5
-    spans = sorted((max(0, p - q - spare), min(len(text), p - q + length + spare)) for p, q in zip(at, places))
-    out = []
-    for start, end in spans:
-        if out and start <= out[-1][1]:
-            out[-1] = out[-1][0], max(end, out[-1][1])
-        else:
-            out.append((start, end))
-    return out
+    An alignment lies whole in a part: up to each of its words, what matches
+    outweighs the others, each of which costs a mismatch or a gap.
+    """
+    cost = -max(MISMATCH, GAP)
+    level = (MATCH + cost) * np.arange(len(at)) - cost * at
+    score = level - np.minimum.accumulate(level) + MATCH
+    starts = np.flatnonzero(score == MATCH)
+    good = np.maximum.reduceat(score, starts) >= least
+    ends = np.append(starts[1:], len(at))
+    return list(zip(at[starts[good]].tolist(), (at[ends[good] - 1] + 1).tolist()))
 
 
-def _align(items: Items, allowed: np.ndarray, threshold: float):
+def _align(items: Items, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[tuple, tuple] = {}
+        every = items.least(threshold)
+        mark = np.zeros(len(items.vocabulary) + 1, bool)  # the last one is for other words
         for batch in batches:
             out = []
             for owner, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 words = items.numbers(text.as_py())
-                by_item: dict[int, tuple[list, list]] = {}
-                for at, seed in zip(*(x.tolist() for x in items.hits(words, allowed))):
-                    for item, place in items.places[seed]:
-                        held = by_item.setdefault(item, ([], []))
-                        held[0].append(at)
-                        held[1].append(place)
-                for item, (at, places) in by_item.items():
-                    own, best = items.words[item], (0, 0, 0)
-                    least = threshold * MATCH * len(own)
-                    for start, end in _stretches(words, at, places, len(own)):
+                for item in items.able(words, every).tolist():
+                    own, least, best = items.words[item], every[item], (0, 0, 0)
+                    mark[own] = True
+                    at = np.flatnonzero(mark[words])
+                    mark[own] = False
+                    for start, end in _stretches(at, least):
                         part = words[start:end]
                         if MATCH * int(np.isin(own, part).sum()) < least:
                             continue  # no alignment can reach the threshold
@@ -181,8 +156,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, b
     score is the share of the highest possible alignment score; start and end
     are words (letters and digits) of the text. Items without words and texts
     without words are never found; items or texts with a null id are, with a
-    null there. An item of fewer than SEED words is found only in texts as
-    short. A repeated item is reported once for each row with its id, a
+    null there. A score must also be that of SEED words in a row, so of an item
+    of up to SEED words the whole is found, in texts of any length. A repeated item is reported once for each row with its id, a
     repeated text too. Columns other than the ids and texts are not looked at.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
@@ -194,23 +169,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, b
         # A block is bounded, so it may pass through the driver.
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == number).collect()
         block = Items(sorted((tuple(r) for r in rows), key=lambda r: (r[0] is None, r[0], r[1] or "")))
-        if not len(block.seeds):
+        if not block.vocabulary:
             continue
-        counts = np.zeros(len(block.seeds), np.int64)
-        counted = texts.mapInArrow(_count(block), "seed long, texts long").groupBy("seed").agg(F.sum("texts").alias("texts"))
-        for row in counted.collect():  # one row per seed of the block
-            counts[row["seed"]] = row["texts"]
-        own: dict[int, set[int]] = {}
-        for seed, places in enumerate(block.places):
-            for item, _ in places:
-                own.setdefault(item, set()).add(seed)
-        allowed = np.zeros(len(block.seeds), bool)
-        for seeds in own.values():
-            rarest = sorted(seeds, key=lambda s: (counts[s], s))
-            allowed[rarest[: (len(rarest) + 1) // 2]] = True
-        part = texts.mapInArrow(
-            _align(block, allowed, threshold), "doc_id long, item_id long, score double, start long, end long"
-        )
+        part = texts.mapInArrow(_align(block, threshold), "doc_id long, item_id long, score double, start long, end long")
         found = part if found is None else found.unionByName(part)
     if found is None:
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, score double, start long, end long")

@@ -99,3 +99,34 @@ def test_odd_rows(spark, odd_docs, no_docs, given):
     kept = dc.without_leaks(odd_docs, odd_items)
     assert kept.columns == odd_docs.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, [1, 2, 3, None, None, 7, 7, 8]))
+
+
+def found_by_whole_alignment(docs: list, items: list) -> set:
+    want = set()
+    for doc_id, text in docs:
+        for item_id, item in items:
+            own = dc.normal_words(item)
+            score = smith_waterman(dc.normal_words(text), own)
+            if score >= max(dc.THRESHOLD * dc.MATCH * len(own), dc.MATCH * min(dc.SEED, len(own))):
+                want.add((doc_id, item_id, score / (dc.MATCH * len(own))))
+    return want
+
+
+def test_heavily_edited_copies_equal_whole_alignment(spark):
+    """Every n-th word replaced, or a word put in after every n-th, beside exact copies."""
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(400)}"
+    items = [(i, " ".join(word() for _ in range(rng.randrange(30, 42)))) for i in range(8)]
+    texts = []
+    for _, item in items:
+        own = item.split()
+        for n in (2, 3, 4, 5, 6):
+            texts.append([f"x{rng.randrange(9999)}" if k % n == n - 1 else w for k, w in enumerate(own)])
+        for n in (1, 2, 3):
+            texts.append([x for k, w in enumerate(own) for x in ([w, "put"] if k % n == n - 1 else [w])])
+        texts += [own, own, [word() for _ in range(60)]]
+    docs = [(i, " ".join([*(word() for _ in range(i % 9)), *t, *(word() for _ in range(i % 7))])) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    found = dc.leaks(df, spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = found_by_whole_alignment(docs, items)
+    assert {(r.doc_id, r.item_id, r.score) for r in found} == want and len(want) > 60
