@@ -397,7 +397,8 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if size > 1 << 18:
                 yield _pairs(held)
                 held, size = [], 0
-    yield _pairs(held)
+    if held:
+        yield _pairs(held)
 
 
 def _pairs(held: list) -> pa.RecordBatch:

@@ -2,6 +2,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from firmbook.llm import jaccard
@@ -104,3 +106,24 @@ def test_odd_rows(odd_docs, no_docs):
     assert kept.columns == odd_docs.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, [1, 2, 3, 4, None, None, 7, 7, 8]))
     assert jaccard.one_of_each(no_docs).count() == 0
+
+
+def one_list(component: np.ndarray) -> list[np.ndarray]:
+    """Columns of the index list of a shingle: sets of 20 shingles that may share them all."""
+    rep, all_of = np.arange(len(component), dtype=np.uint64), lambda x: np.full(len(component), x, np.uint64)
+    return [all_of(7), rep, component.astype(np.uint64), all_of(20), all_of(20), all_of(1), rep, all_of(19)]
+
+
+def pairs_of(batches) -> set:
+    found = set()
+    for batch in batches:
+        for row in batch.to_pylist():
+            found.update(zip(*(np.frombuffer(row[c], np.int64).tolist() for c in ("member", "guest"))))
+    return found
+
+
+def test_candidates_may_be_sent_with_the_last_pair_of_blocks():
+    """725 sets make 262,450 pairs, and only the last block's bring them over 262,144."""
+    columns = one_list(np.arange(725))
+    cells = list(jaccard._send(0, np.zeros(725, np.uint64), columns, 1))
+    assert len(pairs_of(jaccard._candidates(iter(cells)))) == 725 * 724 // 2
