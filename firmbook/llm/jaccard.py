@@ -13,7 +13,7 @@ by set relations:
    shingles another set can share at all. The other lists are sorted by set size
    and cut in blocks; two blocks are skipped when sizes, shingles left behind
    the position, or shareable shingles can't reach the overlap. Lists within one
-   component are skipped as a whole.
+   component are skipped as a whole, and so are two blocks within one.
 3. The pairs that remain are compared by blocks of alike sets: a set's text
    travels once to each block that has candidates for it.
 
@@ -52,6 +52,8 @@ BLOCK = 1 << 20
 POSTINGS = 1 << 18
 #: Compressed texts that a task takes apart at once.
 PACKED_BYTES = 1 << 18
+#: Sets that a task remembers as posted.
+POSTED = 1 << 18
 #: Entries of an index list in a block that is skipped as one.
 SKIP = 128
 
@@ -212,21 +214,38 @@ def _receive(batches: Iterator[pa.RecordBatch], kinds: dict[int, int]) -> dict[i
 
 
 def _postings(size: int, frequent: np.ndarray, counts: np.ndarray, ranges: int) -> Callable:
-    """Prefix shingles of every text: shingle, doc_id, tag of the set, shingles left behind it in the order.
+    """Prefix shingles of every set: shingle, doc_id, tag of the set, shingles left behind it in the order.
 
     And to the texts' homes: doc_id and a rank of the last prefix shingle in the order.
+    Of equal sets a task posts one, and again only for a smaller id, so the
+    smallest id of all, which stands for the set, is always posted.
     """
 
+    def fresh(posted: dict, keys: list[tuple], ids: list[int]) -> list[bool]:
+        lowest: dict[tuple, int] = {}
+        for key, own in zip(keys, ids):
+            lowest[key] = min(own, lowest.get(key, own))
+        out = [own == lowest[key] and (key not in posted or own < posted[key]) for key, own in zip(keys, ids)]
+        if len(posted) + len(lowest) > POSTED:
+            posted.clear()
+        posted.update((key, min(own, posted.get(key, own))) for key, own in lowest.items())
+        return out
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, lasts, size_held = [], [], 0
+        held, lasts, size_held, posted = [], [], 0, {}
         for part in slices(batches):
             prints, first = shingle_sets(part.column("text"), size)
             sizes = np.diff(first)
             owner = np.repeat(np.arange(len(sizes)), sizes)
             some = np.flatnonzero(sizes)
-            tags = np.zeros(len(sizes), np.uint64)
+            ids = part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+            tags, kept = np.zeros(len(sizes), np.uint64), np.zeros(len(sizes), bool)
             if len(some):
-                tags[some] = np.add.reduceat(mix(prints + np.uint64(1)), first[some]) & TAG
+                tags[some] = np.add.reduceat(mix(prints + np.uint64(1)), first[some])
+                keys = zip(*(x.tolist() for x in (tags[some], prints[first[some]], prints[first[some + 1] - 1])))
+                kept[some] = fresh(posted, list(keys), ids[some].tolist())
+                tags &= TAG
+            some = np.flatnonzero(kept)
             weight = np.zeros(len(prints), np.int64)
             if len(frequent) and len(prints):
                 near = np.minimum(np.searchsorted(frequent, prints), len(frequent) - 1)
@@ -235,9 +254,8 @@ def _postings(size: int, frequent: np.ndarray, counts: np.ndarray, ranges: int)
                 order = np.lexsort((weight, owner))  # stable: by weight, then fingerprint
                 prints, weight = prints[order], weight[order]
             place = np.arange(len(prints)) - np.repeat(first[:-1], sizes)
-            chosen = place <= np.repeat(sizes // 4, sizes)
+            chosen = (place <= np.repeat(sizes // 4, sizes)) & kept[owner]
             left = np.repeat(sizes, sizes) - place - 1
-            ids = part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
             held.append([x[chosen] for x in (prints, ids[owner], tags[owner], left)])
             end = first[some] + sizes[some] // 4
             rank = np.minimum(weight[end], (1 << 24) - 1).astype(np.uint64) << np.uint64(40)
@@ -348,17 +366,26 @@ class Entries:
         return Entries(*[getattr(self, f.name)[rows] for f in fields(self)])
 
     def pairs(self) -> Iterator[tuple[np.ndarray, ...]]:
-        """Pairs of a list sorted by n that can be linked, block by block: sets and their blocks."""
-        starts = np.arange(0, len(self.n), SKIP)
-        most, left, reach = (np.maximum.reduceat(x, starts) for x in (self.n, self.left, self.reach))
-        for a, i in enumerate(starts):
-            for b in range(a, len(starts)):
-                least = self.n[starts[b]]
-                if 3 * least > 4 * most[a]:
-                    break
-                if 7 * min(1 + left[a], 1 + left[b], max(reach[a], reach[b])) < 3 * (self.n[i] + least):
-                    continue
-                one, two = self.at(slice(i, i + SKIP)), self.at(slice(starts[b], starts[b] + SKIP))
+        """Pairs of a list that can be linked, block by block: sets and their blocks.
+
+        A component with enough entries to fill a block has blocks of its own;
+        the entries of the others are blocked together. Blocks are of alike size.
+        """
+        _, which, many = np.unique(self.component, return_inverse=True, return_counts=True)
+        alone = np.where(many[which] >= SKIP, which + 1, 0)
+        order = np.lexsort((self.n, alone))
+        whole, alone = self.at(order), alone[order]
+        begun = np.searchsorted(alone, alone)
+        starts = np.flatnonzero((np.arange(len(alone)) - begun) % SKIP == 0)
+        ends, alone = np.append(starts[1:], len(alone)), alone[starts]
+        least = np.minimum.reduceat(whole.n, starts)
+        most, left, reach = (np.maximum.reduceat(x, starts) for x in (whole.n, whole.left, whole.reach))
+        for a in range(len(starts)):
+            alike = (3 * least[a:] <= 4 * most[a]) & (3 * least[a] <= 4 * most[a:])
+            bound = np.minimum(1 + np.minimum(left[a], left[a:]), np.maximum(reach[a], reach[a:]))
+            apart = (alone[a:] != alone[a]) | (alone[a:] == 0)
+            for b in (a + np.flatnonzero(alike & apart & (7 * bound >= 3 * (least[a] + least[a:])))).tolist():
+                one, two = whole.at(slice(starts[a], ends[a])), whole.at(slice(starts[b], ends[b]))
                 good = possible(one.at((slice(None), None)), two.at((None, slice(None))))
                 i_good, j_good = np.nonzero(np.triu(good, 1) if a == b else good)
                 if len(i_good):
@@ -366,18 +393,18 @@ class Entries:
 
 
 def possible(a: Entries, b: Entries) -> np.ndarray:
-    """Whether two sets can be linked that are not known to be connected; a is not larger than b."""
+    """Whether two sets can be linked that are not known to be connected."""
     # The set whose prefix ends first bounds the overlap; on a tie of ranks either may.
     either = np.maximum(a.reach, b.reach)
     most = np.where(a.rank < b.rank, a.reach, np.where(b.rank < a.rank, b.reach, either))
     good = 7 * np.minimum(most, 1 + np.minimum(a.left, b.left)) >= 3 * (a.n + b.n)
-    return good & (3 * b.n <= 4 * a.n) & (a.component != b.component)
+    return good & (3 * b.n <= 4 * a.n) & (3 * a.n <= 4 * b.n) & (a.component != b.component)
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of sets of different components that share a prefix shingle and can be linked, by host block."""
     columns = _receive(batches, {0: 8})[0]
-    order = np.lexsort((columns[3], columns[0]))  # by shingle, then size
+    order = np.argsort(columns[0], kind="stable")
     prints, rep, component, n, reach, rank, block, left = (c[order] for c in columns)
     if not len(prints):
         return

@@ -127,3 +127,27 @@ def test_candidates_may_be_sent_with_the_last_pair_of_blocks():
     columns = one_list(np.arange(725))
     cells = list(jaccard._send(0, np.zeros(725, np.uint64), columns, 1))
     assert len(pairs_of(jaccard._candidates(iter(cells)))) == 725 * 724 // 2
+
+
+def test_blocks_within_one_component_are_skipped(monkeypatch):
+    """A stray set among 4,000 of one component is held against each block of them, not these against each other."""
+    looked, possible = [], jaccard.possible
+    monkeypatch.setattr(jaccard, "possible", lambda a, b: looked.append(1) or possible(a, b))
+    component = np.where(np.arange(4000) == 1234, 1234, 0)
+    cells = list(jaccard._send(0, np.zeros(4000, np.uint64), one_list(component), 1))
+    found = pairs_of(jaccard._candidates(iter(cells)))
+    assert {frozenset(p) for p in found} == {frozenset((1234, i)) for i in range(4000) if i != 1234}
+    assert len(looked) <= 2 + -(-4000 // jaccard.SKIP)
+
+
+@pytest.mark.parametrize("step", [1, -1])
+def test_equal_sets_are_posted_once_by_a_task(step):
+    texts = [" ".join(f"w{i}" for i in range(40)), " ".join(f"v{i}" for i in range(40))]
+    none = np.zeros(0, np.uint64)
+
+    def posted(ids: list[int]) -> list[int]:
+        part = pa.RecordBatch.from_pydict({"doc_id": pa.array(ids), "text": [texts[i % 2] for i in ids]})
+        cells = [c for b in jaccard._postings(5, none, none.view(np.int64), 1)(iter([part])) for c in b.to_pylist()]
+        return sorted(i for c in cells if c["kind"] == 0 for i in jaccard.unpack(c["columns"][1]).tolist())
+
+    assert posted(list(range(600))[::step]) == posted([0, 1]) and set(posted([0, 1])) == {0, 1}
