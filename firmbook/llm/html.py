@@ -9,8 +9,10 @@
    of a host is the element that holds its varying text, apart from what is a
    menu, header, footer, sidebar, notice, advert, form or comment by its tag,
    role, class or id.
-4. Each page is aligned again and the text of the wrapper's element is taken. A
-   page that does not fit its wrapper gives its article, main or body element.
+4. Each page is aligned again and the text of the wrapper's element is taken,
+   with what else the page has beside it; but beside an article or main element
+   nothing is. A page that does not fit its wrapper gives its article, main or
+   body element.
 """
 
 from __future__ import annotations
@@ -293,15 +295,18 @@ def _wrapper(rows: pd.DataFrame) -> pd.DataFrame:
     counts = rows.set_index("node")[["pages", "texts", "letters"]].to_dict("index")
     most = max(c["pages"] for c in counts.values())
     constant = {n for n, c in counts.items() if c["texts"] == 1 and c["letters"] and most >= 5 and c["pages"] == most}
-    mass = [0.0] * len(flat)
+    mass, article = [0.0] * len(flat), [0.0] * len(flat)  # article: of the largest article or main element in it
     for node in range(len(flat) - 1, -1, -1):
         tag, noise, children = flat[node]
         own = counts.get(node)
         varying = own["letters"] if own and node not in constant else 0
         mass[node] = 0 if noise else varying + sum(mass[c] for c in children)
+        if not noise:
+            article[node] = mass[node] if tag in ("article", "main") else max((article[c] for c in children), default=0)
     at = 0
     while mass[0]:
-        able = [c for c in flat[at][2] if mass[c] >= 0.9 * mass[0] and flat[c][0] in HOLDERS]
+        # Only an article or main element may leave varying text outside.
+        able = [c for c in flat[at][2] if flat[c][0] in HOLDERS and (mass[c] == mass[at] or article[c] >= 0.9 * mass[0])]
         heads = [c for c in flat[at][2] if mass[c] and c not in able and flat[c][0] in ("h1", "h2", "h3")]
         if not able or heads or flat[at][0] in ("article", "main"):
             break
@@ -353,6 +358,13 @@ def main_text(page: str | None, reference: str | None, holder: int | None, templ
         constant = set(template or ())
         nodes = [n for own, node in pairs if node == holder for n in shapes[own].nodes]
         dropped = {id(n) for own, node in pairs if node in constant for n in shapes[own].nodes if not shapes[own].children}
+        if nodes and nodes[0].tag not in ("article", "main"):
+            inside = {id(s) for own, node in pairs if node == holder for s in _preorder(shapes[own])}
+            for own, node in pairs:
+                if node in constant and id(shapes[own]) not in inside:
+                    for n in shapes[own].nodes:  # its own text is template, not that of its blocks
+                        n.parts = [p for p in n.parts if isinstance(p, Node) and (p.tag in BLOCKS or p.noise)]
+            nodes = [root]
     return text_of(nodes, dropped) or text_of(_fallback(root))
 
 

@@ -75,3 +75,20 @@ def test_simple_tree_matching():
     size, pairs = html.match(a, b, {})
     assert size == 4 and sorted(pairs) == [(0, 0), (2, 1), (3, 2), (4, 5)]
     assert html.match(a, ["y", 0, []], {}) == (0, [])
+
+
+def test_content_beside_the_story_is_kept(spark):
+    """A lede, a closing line and a table beside the story; one page has blocks that no other has."""
+    rows, want = [], {}
+    for i in range(12):
+        story = [f"Story {i} has a long paragraph {k} " + f"of words {i * k} " * 30 for k in range(4)]
+        extra = "<section><p>Only here</section>" if i == 3 else ""
+        rows.append((i, "http://h.example/%d" % i, (
+            f"<body><div class=top>My site <p>Home</div><div class=all><p class=lede>Lede {i}</p>"
+            f"<div class=story>{''.join(f'<p>{p}</p>' for p in story)}</div><h4>Facts {i}</h4><table><tr><td>{i * 7}</table>"
+            f"<div class=more>More {i}</div></div>{extra}<div class=end>All the best</div></body>"
+        )))
+        lines = [f"Lede {i}", *(" ".join(p.split()) for p in story), f"Facts {i}", str(i * 7), f"More {i}"]
+        want[i] = "\n".join(lines + (["Only here"] if i == 3 else []))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html.extract(df).collect()} == want
