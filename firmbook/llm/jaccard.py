@@ -52,6 +52,8 @@ BLOCK = 1 << 20
 POSTINGS = 1 << 18
 #: Compressed texts that a task takes apart at once.
 PACKED_BYTES = 1 << 18
+#: Counts from here on are the same in a rank.
+MANY = (1 << 24) - 1
 #: Sets that a task remembers as posted.
 POSTED = 1 << 18
 #: Entries of an index list in a block that is skipped as one.
@@ -258,7 +260,7 @@ def _postings(size: int, frequent: np.ndarray, counts: np.ndarray, ranges: int)
             left = np.repeat(sizes, sizes) - place - 1
             held.append([x[chosen] for x in (prints, ids[owner], tags[owner], left)])
             end = first[some] + sizes[some] // 4
-            rank = np.minimum(weight[end], (1 << 24) - 1).astype(np.uint64) << np.uint64(40)
+            rank = np.minimum(weight[end], MANY).astype(np.uint64) << np.uint64(40)
             lasts.append([ids[some], rank | (prints[end] >> np.uint64(24))])
             size_held += int(chosen.sum())
             if size_held >= POSTINGS:
@@ -394,9 +396,10 @@ class Entries:
 
 def possible(a: Entries, b: Entries) -> np.ndarray:
     """Whether two sets can be linked that are not known to be connected."""
-    # The set whose prefix ends first bounds the overlap; on a tie of ranks either may.
-    either = np.maximum(a.reach, b.reach)
-    most = np.where(a.rank < b.rank, a.reach, np.where(b.rank < a.rank, b.reach, either))
+    # The set whose prefix ends first bounds the overlap; on a tie of ranks, or of counts too large for them, either may.
+    most = np.where(a.rank < b.rank, a.reach, b.reach)
+    many = np.uint64(MANY << 40)
+    most = np.where((a.rank == b.rank) | (np.minimum(a.rank, b.rank) >= many), np.maximum(a.reach, b.reach), most)
     good = 7 * np.minimum(most, 1 + np.minimum(a.left, b.left)) >= 3 * (a.n + b.n)
     return good & (3 * b.n <= 4 * a.n) & (3 * a.n <= 4 * b.n) & (a.component != b.component)
 

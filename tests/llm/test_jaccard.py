@@ -151,3 +151,13 @@ def test_equal_sets_are_posted_once_by_a_task(step):
         return sorted(i for c in cells if c["kind"] == 0 for i in jaccard.unpack(c["columns"][1]).tolist())
 
     assert posted(list(range(600))[::step]) == posted([0, 1]) and set(posted([0, 1])) == {0, 1}
+
+
+def test_ranks_of_counts_too_large_for_them_are_a_tie():
+    def entry(component, reach, rank):
+        columns = [np.array([x], np.uint64) for x in (component, component)] + [np.array([x]) for x in (20, reach)]
+        return jaccard.Entries(*columns, np.array([rank], np.uint64), np.array([0], np.uint64), np.array([19]))
+
+    for count, can in (((1 << 24) - 1, True), ((1 << 24) - 2, False)):
+        ends_first, other = entry(1, 3, count << 40), entry(2, 20, (count << 40) + 5)
+        assert jaccard.possible(ends_first, other)[0] == jaccard.possible(other, ends_first)[0] == can
