@@ -384,6 +384,8 @@ def extract(pages: DataFrame) -> DataFrame:
     A null or empty page gives an empty text. Pages without a host, null urls
     too, count as pages of one host. A page without peers, or unlike them, gives
     its article, main or body element without noise. Repeated rows are kept.
+    Text without a telling name is template only if the same on all of at least
+    5 pages of a host; a host of fewer keeps it.
     Columns other than page_id, url and html are not looked at.
     """
     folder = workspace(pages.sparkSession)

@@ -92,3 +92,10 @@ def test_content_beside_the_story_is_kept(spark):
         want[i] = "\n".join(lines + (["Only here"] if i == 3 else []))
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     assert {r.page_id: r.text for r in html.extract(df).collect()} == want
+
+
+@pytest.mark.parametrize("pages, kept", [(4, True), (5, False)])
+def test_template_is_told_from_five_pages_on(spark, pages, kept):
+    rows = [(i, "http://h.example/", f"<body><div class=x>All the best</div><div class=y><p>Text {i}</div>") for i in range(pages)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.text for r in html.extract(df).collect()} == {("All the best\n" if kept else "") + f"Text {i}" for i in range(pages)}
