@@ -130,3 +130,10 @@ def test_heavily_edited_copies_equal_whole_alignment(spark):
     found = dc.leaks(df, spark.createDataFrame(items, "item_id long, text string")).collect()
     want = found_by_whole_alignment(docs, items)
     assert {(r.doc_id, r.item_id, r.score) for r in found} == want and len(want) > 60
+
+
+def test_short_items_are_found_whole_inside_longer_texts(spark):
+    items = [(1, "Rosebud"), (2, "open sesame"), (3, "one two three")]
+    docs = [(1, "he said rosebud, then died"), (2, "the cry: Open, Sesame! and so on"), (3, "open the sesame"), (4, "one two four"), (5, "at one two three")]
+    found = dc.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id, r.score) for r in found.collect()} == {(1, 1, 1.0), (2, 2, 1.0), (5, 3, 1.0)}
