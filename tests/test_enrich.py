@@ -6,7 +6,7 @@ from firmbook.operators import enrich
 from firmbook.operators.enrich import decode_codes, fits_broadcast, join_lookup, unique_codes
 from firmbook.plans.flows import enrich_companies, enrich_establishments, enrich_partners
 from harness.registry import Tables
-from conftest import SMALL
+from places import SMALL
 
 
 @pytest.fixture

@@ -3,7 +3,7 @@
 import pytest
 
 from check import compare, connect
-from conftest import SMALL
+from places import SMALL
 from __spark_entry__ import entry, oracle_sql, queries
 
 
