@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmbook.llm import decontamination, html, jaccard, licences, packing, quality, sharding, substrings, topk, toxicity
+from firmbook.llm import decontamination, html, jaccard, licences, packing, quality, rules, sharding, substrings, topk, toxicity
 
 QUERIES, ORACLE = {}, {}
 
@@ -71,6 +71,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@registered
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
+
+
 ORACLE["op9_exact_top_k"] = """
 with whole as (
   select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as v
@@ -137,3 +142,72 @@ with words as (
 select doc_id, len(w) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept.text, '')) as kept_sha256
 from words left join kept using (doc_id)
 """
+
+ORACLE["op12_quality_rules"] = r"""
+with docs as (
+  select row_number() over () as i, doc_id, lang, coalesce(text, '') as t from documents
+), words as (
+  select *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as w, regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g') as chars from docs
+), windows as (
+  select i, k, array_to_string(w[k : k + 2], ' ') as win from words, unnest(range(1, len(w) - 1)) as u(k)
+), repeats as (
+  select i, count(distinct place) as n from (
+    select i, unnest(range(k, k + 3)) as place
+    from (select *, count(*) over (partition by i, win) as times from windows) where times > 1) group by i
+), lines as (
+  select i, cast(count(*) - count(distinct line) as bigint) as n
+  from (select i, unnest(string_split(t, chr(10))) as line from docs)
+  where regexp_matches(line, '[^\x20\x09-\x0D]') group by i
+), spoken as (
+  select i, lang, unnest(w) as word from words
+), totals as (
+  select lang, count(*) as total from spoken group by lang
+), common as (
+  select s.lang, word, count(*) / any_value(total) as share
+  from spoken s join totals t on s.lang is not distinct from t.lang
+  group by s.lang, word having count(*) * 400 >= any_value(total)
+), own as (
+  select i, word, count(*) as n from spoken group by i, word
+), word_bins as (
+  select x.i, coalesce(o.n, 0) / len(x.w) as p, c.share as q
+  from words x join common c on x.lang is not distinct from c.lang left join own o on o.i = x.i and o.word = c.word
+  where len(x.w) > 0
+), word_bins_all as (
+  select i, p, q from word_bins
+  union all
+  select x.i, 1 - coalesce(sum(b.p), 0), 1 - coalesce(sum(b.q), 0) from words x left join word_bins b on x.i = b.i
+  where len(x.w) > 0 group by x.i
+), kinds as (
+  select unnest(['[a-z]', '[\x{80}-\x{10FFFF}]', '[A-Z]', '[.,;:!?''"()-]', '[0-9]']) as kind
+), class_counts as (
+  select i, lang, kind, length(chars) - length(regexp_replace(chars, kind, '', 'g')) as n, length(chars) as n_chars from words, kinds
+), class_counts_all as (
+  select * from class_counts
+  union all select i, lang, 'rest', any_value(n_chars) - sum(n), any_value(n_chars) from class_counts group by i, lang
+), class_shares as (
+  select lang, kind, sum(n) / sum(n_chars) as q from class_counts_all group by lang, kind having sum(n_chars) > 0
+), class_bins as (
+  select i, n / n_chars as p, q
+  from class_counts_all c join class_shares s on c.lang is not distinct from s.lang and c.kind = s.kind where n_chars > 0
+), parted as (
+  select 'word' as side, i, p, q from word_bins_all union all select 'class', i, p, q from class_bins
+), distances as (
+  select i, side, sqrt(greatest(sum(
+      case when p > 1e-12 then p * ln(2 * p / (p + q)) else 0 end + case when q > 1e-12 then q * ln(2 * q / (p + q)) else 0 end
+    ) / 2, 0) / ln(2)) as d
+  from parted group by i, side
+), both_sides as (
+  select i, max(d) filter (where side = 'class') as class_distance, max(d) filter (where side = 'word') as word_distance
+  from distances group by i
+), measured as (
+  select x.doc_id, cast(len(x.w) as bigint) as n_words, cast(length(x.chars) as bigint) as word_chars,
+         cast(length(x.chars) - length(regexp_replace(x.chars, '[#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
+         coalesce(l.n, 0) as n_dup_lines, coalesce(r.n, 0) as n_repeat_words, class_distance, word_distance
+  from words x left join lines l on x.i = l.i left join repeats r on x.i = r.i left join both_sides b on x.i = b.i
+), failed as (
+  select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from measured
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not base_failed and coalesce(class_distance <= 0.2 + 1 / sqrt(n_words) and word_distance <= 0.3 + 1 / sqrt(n_words), true) as kept
+from failed
+"""
