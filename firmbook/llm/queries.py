@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmbook.llm import decontamination, html, jaccard, licences, packing, quality, rules, sharding, substrings, topk, toxicity
+from firmbook.llm import audit, decontamination, html, jaccard, licences, packing, quality, rules, sharding, substrings, topk, toxicity
 
 QUERIES, ORACLE = {}, {}
 
@@ -76,6 +76,11 @@ def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
 
 
+@registered
+def op13_source_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"))
+
+
 ORACLE["op9_exact_top_k"] = """
 with whole as (
   select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as v
@@ -211,3 +216,45 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        not base_failed and coalesce(class_distance <= 0.2 + 1 / sqrt(n_words) and word_distance <= 0.3 + 1 / sqrt(n_words), true) as kept
 from failed
 """
+
+ORACLE["op13_source_divergence_audit"] = r"""
+with docs as (
+  select row_number() over () as i, coalesce(lang, '') as lang, coalesce(source, '') as source, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w
+  from documents
+), counts as (
+  select i, lang, source, term, count(*) as n from (select i, lang, source, unnest(w) as term from docs) group by all
+), terms as (
+  select lang, term, sum(n) as total from counts group by lang, term having count(*) >= 3
+), langs as (
+  select lang, count(*) as kept, sum(total) as lang_total from terms group by lang
+), groups as (
+  select distinct lang, source from docs
+), own as (
+  select c.lang, source, term, sum(n) as n from counts c join terms using (lang, term) group by all
+), sums as (
+  select lang, source, sum(n) as group_total from own group by all
+), grid as (
+  select g.lang, g.source, t.term, coalesce(o.n, 0) as n,
+         1 + (1000000000::hugeint * (coalesce(o.n, 0) + 1)) // (coalesce(s.group_total, 0) + l.kept) as p,
+         1 + (1000000000::hugeint * (t.total + 1)) // (l.lang_total + l.kept) as q
+  from groups g join terms t using (lang) join langs l using (lang)
+  left join sums s on g.lang = s.lang and g.source = s.source
+  left join own o on g.lang = o.lang and g.source = o.source and t.term = o.term
+), divergences as (
+  select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p) as value
+  from grid a join grid b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+), pairs as (
+  select a.lang, a.source, 'pair' as part, b.source as item, cast(coalesce(value, 0) as bigint) as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join divergences d on d.lang = a.lang and d.source = a.source and d.item = b.source
+), more as (
+  select lang, source, 'term' as part, term as item, cast((p - q) * (p - q) // q as bigint) as value
+  from grid where n > 0 and p > q
+)
+select lang, source, part, item, value, cast(rank as integer) as rank from (
+  select *, row_number() over (partition by lang, source, part order by value desc, item) as rank
+  from (select * from pairs union all select * from more)
+) where part = 'pair' or rank <= 200
+"""

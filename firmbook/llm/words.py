@@ -69,6 +69,14 @@ class Words:
         np.cumsum(_BYTE_CODES[self.data] * up[:-1], out=sums[1:])
         return mix((sums[self.ends] - sums[self.starts]) * down[self.starts])
 
+    def strings(self) -> pa.Array:
+        """The words themselves."""
+        lengths = self.ends - self.starts
+        offsets = np.concatenate([[0], np.cumsum(lengths)])
+        at = np.arange(offsets[-1]) + np.repeat(self.starts - offsets[:-1], lengths)
+        buffers = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(self.data[at])]
+        return pa.Array.from_buffers(pa.large_string(), len(lengths), buffers)
+
     def windows(self, size: int, short: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """Rabin-Karp fingerprints of all windows of `size` words, and the first window of each text.
 
@@ -88,8 +96,8 @@ class Words:
         return mix(found + length.astype(np.uint64)), first
 
 
-def split(texts: pa.Array, lower: bool = False) -> Words:
-    """The words of some texts; null counts as empty. lower: A-Z become a-z."""
+def split(texts: pa.Array, lower: bool = False, blank: np.ndarray = _BLANK) -> Words:
+    """The words of some texts; null counts as empty. lower: A-Z become a-z. blank: which bytes are no part of a word."""
     texts = texts.fill_null("").cast(pa.large_string())
     offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
     raw = texts.buffers()[2]
@@ -97,7 +105,7 @@ def split(texts: pa.Array, lower: bool = False) -> Words:
     offsets = offsets - offsets[0]
     data = _LOWER[data] if lower else data
     inside = np.zeros(len(data) + 2, dtype=bool)
-    np.logical_not(_BLANK[data], out=inside[1:-1])
+    np.logical_not(blank[data], out=inside[1:-1])
     begins, stops = inside[1:-1] & ~inside[:-2], inside[1:-1] & ~inside[2:]
     full = offsets[:-1] < offsets[1:]
     begins[offsets[:-1][full]] = inside[1:-1][offsets[:-1][full]]
