@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmbook.llm import audit, decontamination, html, jaccard, licences, packing, quality, rules, sharding, substrings, topk, toxicity
+from firmbook.llm import audit, decontamination, html, jaccard, licences, packing, phrases, quality, rules, sharding, substrings, topk, toxicity
 
 QUERIES, ORACLE = {}, {}
 
@@ -71,6 +71,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@registered
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 @registered
 def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
@@ -258,3 +263,41 @@ select lang, source, part, item, value, cast(rank as integer) as rank from (
   from (select * from pairs union all select * from more)
 ) where part = 'pair' or rank <= 200
 """
+
+ORACLE["op11_phrase_collocations"] = r"""
+with docs as (
+  select row_number() over () as i, coalesce(lang, 'und') as lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
+  from documents
+), pieces as (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w
+  from (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) as piece from docs)
+), ngrams as (
+  select lang, size, array_to_string(w[k : k + size - 1], ' ') as phrase, count(*) as f
+  from pieces, unnest([1, 2, 3, 4]) as s(size), unnest(range(1, len(w) - size + 2)) as u(k)
+  group by all
+), spoken as (
+  select lang, cast(sum(f) as bigint) as n from ngrams where size = 1 group by lang
+), known as (
+  select lang, size, phrase, string_split(phrase, ' ') as w, f as a from ngrams where f >= 30
+), cuts as (
+  select lang, phrase, a, k, l.a as l, r.a as r, (2000000::hugeint * a) // (l.a::hugeint + r.a) as score
+  from (select lang, phrase, a, k, array_to_string(w[1 : k], ' ') as p, array_to_string(w[k + 1 :], ' ') as q
+        from known, unnest(range(1, size)) as u(k)) c
+  join (select lang, phrase as p, a from known) l using (lang, p)
+  join (select lang, phrase as q, a from known) r using (lang, q)
+), lowest as (
+  select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), covered as (
+  select lang, phrase, max(a) as longer from (
+    select lang, a, array_to_string(w[k : k + part - 1], ' ') as phrase
+    from known, unnest(range(2, size)) as s(part), unnest(range(1, size - part + 2)) as u(k))
+  group by all
+)
+select lang, cast(rank as integer) as rank, phrase, a, l, r, n, cast(score as bigint) as score
+from (
+  select x.*, row_number() over (partition by x.lang order by score desc, a desc, x.phrase) as rank
+  from lowest x left join covered c on x.lang = c.lang and x.phrase = c.phrase
+  where longer is null or 100::hugeint * longer < 80::hugeint * a
+) join spoken using (lang) where rank <= 2000
+"""

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -62,13 +63,17 @@ class Words:
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit fingerprint of each word."""
+    @cached_property
+    def _hashes(self) -> np.ndarray:
         up, down = _BYTE_POWERS(len(self.data) + 1)
         sums = np.zeros(len(self.data) + 1, dtype=np.uint64)
         np.cumsum(_BYTE_CODES[self.data] * up[:-1], out=sums[1:])
         return mix((sums[self.ends] - sums[self.starts]) * down[self.starts])
 
+    def hashes(self) -> np.ndarray:
+        """A 64-bit fingerprint of each word."""
+        return self._hashes
+
     def strings(self) -> pa.Array:
         """The words themselves."""
         lengths = self.ends - self.starts
