@@ -281,7 +281,7 @@ with docs as (
 ), known as (
   select lang, size, phrase, string_split(phrase, ' ') as w, f as a from ngrams where f >= 30
 ), cuts as (
-  select lang, phrase, a, k, l.a as l, r.a as r, (2000000::hugeint * a) // (l.a::hugeint + r.a) as score
+  select lang, phrase, c.a, k, l.a as l, r.a as r, (2000000::hugeint * c.a) // (l.a::hugeint + r.a) as score
   from (select lang, phrase, a, k, array_to_string(w[1 : k], ' ') as p, array_to_string(w[k + 1 :], ' ') as q
         from known, unnest(range(1, size)) as u(k)) c
   join (select lang, phrase as p, a from known) l using (lang, p)
