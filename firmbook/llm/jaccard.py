@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from firmbook.llm.components import components
-from firmbook.llm.shared import pack, settle, shuffle_partitions, unpack, workspace
+from firmbook.llm.shared import home, pack, settle, shuffle_partitions, unpack, workspace
 from firmbook.llm.words import mix, slices, split
 
 SHINGLE = 5
@@ -285,7 +285,7 @@ def _block(held: list, lasts: list, ranges: int) -> Iterator[pa.RecordBatch]:
     steps[fresh] = columns[0][fresh]
     yield from _send(0, keys, [steps, *columns[1:]], ranges)
     columns = [np.concatenate(c) for c in zip(*lasts)]
-    yield from _send(2, columns[0] % ranges, columns, ranges)
+    yield from _send(2, home(columns[0], ranges), columns, ranges)
 
 
 def _shared_lists(ranges: int) -> Callable:
@@ -309,7 +309,7 @@ def _shared_lists(ranges: int) -> Callable:
         several = np.minimum.reduceat(tags, cuts) != np.maximum.reduceat(tags, cuts)
         chosen = np.repeat(several, np.diff(np.append(cuts, len(prints))))
         ids = ids[chosen]
-        yield from _send(0, ids.view(np.int64) % ranges, [prints[chosen], ids, left[chosen]], ranges)
+        yield from _send(0, home(ids, ranges), [prints[chosen], ids, left[chosen]], ranges)
 
     return run
 
@@ -321,7 +321,7 @@ def _known_cells(ranges: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = [batch.column(c).to_numpy().view(np.uint64) for c in _KNOWN]
-            yield from _send(1, columns[0].view(np.int64) % ranges, columns, ranges)
+            yield from _send(1, home(columns[0], ranges), columns, ranges)
 
     return run
 

@@ -8,6 +8,8 @@ import uuid
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
+from firmbook.llm.words import mix
+
 
 def workspace(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir, which the driver and all executors share.
@@ -33,6 +35,11 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def home(ids: np.ndarray, ranges: int) -> np.ndarray:
+    """The range that an id is dealt to, by a hash: ids that go up in steps spread like any others."""
+    return (mix(ids.astype(np.int64).view(np.uint64)) % np.uint64(ranges)).astype(np.int64)
+
+
 def pack(values: np.ndarray) -> bytes:
     """8-byte integers as byte planes, so that the shuffle's compression drops the constant ones."""
     return np.ascontiguousarray(values, dtype="<u8").view(np.uint8).reshape(-1, 8).T.tobytes()

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import LongType, StructField, StructType
 
-from firmbook.llm.shared import pack, pack_sorted, shuffle_partitions, unpack, unpack_sorted
+from firmbook.llm.shared import home, pack, pack_sorted, shuffle_partitions, unpack, unpack_sorted
 from firmbook.llm.words import slices, split
 
 WINDOW = 13
@@ -57,19 +57,14 @@ def _cells(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), fields)], schema=fields)
 
 
-def _home(ids: np.ndarray, ranges: int) -> np.ndarray:
-    """The range of documents that an id belongs to."""
-    return ids.astype(np.int64) % ranges
-
-
 def _tell(fingerprints: np.ndarray, ids: np.ndarray, ranges: int) -> Iterator[tuple]:
     """Cells that tell documents which of their windows came before, one per range of documents."""
-    home = _home(ids, ranges)
-    order = np.lexsort((fingerprints, home))
-    home, fingerprints, ids = home[order], fingerprints[order], ids[order]
-    cuts = np.flatnonzero(np.diff(home, prepend=-1))
-    for at, to in zip(cuts, np.append(cuts[1:], len(home))):
-        yield int(home[at]), True, pack_sorted(fingerprints[at:to]), pack(ids[at:to].view(np.uint64))
+    place = home(ids, ranges)
+    order = np.lexsort((fingerprints, place))
+    place, fingerprints, ids = place[order], fingerprints[order], ids[order]
+    cuts = np.flatnonzero(np.diff(place, prepend=-1))
+    for at, to in zip(cuts, np.append(cuts[1:], len(place))):
+        yield int(place[at]), True, pack_sorted(fingerprints[at:to]), pack(ids[at:to].view(np.uint64))
 
 
 def _earliest(fingerprints: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -139,10 +134,10 @@ def _shipped(ranges: int) -> Callable:
             ids, n = part.column("doc_id"), len(part)
             # Rows without an id are told nothing and may go anywhere.
             spread = pa.array(np.arange(n, dtype=np.int64))
-            home = _home(pc.coalesce(ids, spread).to_numpy(zero_copy_only=False), ranges)
+            place = home(pc.coalesce(ids, spread).to_numpy(zero_copy_only=False), ranges)
             texts = [t if t is None else packer.compress(t.encode()) for t in part.column("text").to_pylist()]
             columns = [
-                pa.array(home, pa.int32()),
+                pa.array(place, pa.int32()),
                 pa.array(np.ones(n, np.int32)),
                 ids,
                 part.column("rest"),

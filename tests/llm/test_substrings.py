@@ -70,3 +70,13 @@ def test_odd_rows(odd_docs, no_docs):
     before = {r.doc_id: r for r in odd_docs.collect()}
     assert by_id[4] == before[4] and by_id[8] == before[8]
     assert substrings.removed_intervals(no_docs).count() == substrings.without_repeats(no_docs).count() == 0
+
+
+def test_ids_in_steps_are_dealt_to_all_ranges():
+    import numpy as np
+
+    from firmbook.llm.shared import home
+
+    for step in (1, 7, 200, 1 << 20):
+        dealt = np.bincount(home(np.arange(-20_000, 20_000) * step, 200), minlength=200)
+        assert dealt.min() > 100 and dealt.max() < 320
