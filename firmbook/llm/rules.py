@@ -118,10 +118,13 @@ def common_words(docs: DataFrame, common: int = COMMON) -> DataFrame:
     """
     words = docs.select(F.xxhash64("lang").alias("key"), F.explode(F.split(F.coalesce("text", F.lit("")), BLANK)).alias("word"))
     counts = words.where("word <> ''").groupBy("key", F.xxhash64("word").alias("print")).agg(F.count("*").alias("n"))
-    counts = settle(counts, workspace(docs.sparkSession), "counts")
-    totals = counts.groupBy("key").agg(F.sum("n").alias("total"))
+    folder = workspace(docs.sparkSession)
+    counts = settle(counts, folder, "counts")
+    # One row a language goes to the counts, which are not dealt by language.
+    totals = settle(counts.groupBy("key").agg(F.sum("n").alias("total")), folder, "totals")
+    near = F.broadcast(totals) if totals.count() <= BROADCAST_LANGS else totals
     # Of words of which each is one in `common` there are no more than `common`.
-    frequent = counts.join(totals, "key").where(F.col("n") * common >= F.col("total"))
+    frequent = counts.join(near, "key").where(F.col("n") * common >= F.col("total"))
     top = F.sort_array(F.collect_list(F.struct("print", (F.col("n") / F.col("total")).alias("share"))))
     found = totals.join(frequent.groupBy("key").agg(top.alias("top")), "key", "left")
     found = found.withColumn("top", F.coalesce("top", F.expr("cast(array() as array<struct<print: bigint, share: double>>)")))
