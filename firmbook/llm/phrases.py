@@ -35,8 +35,10 @@ THRESHOLD = 30
 COVERED_PERCENT = 80
 RANKS = 2000
 NO_LANG = "und"
-#: n-grams that a task of the first pass gathers before it sends them, and rows that one of the second gathers.
-HELD = 1 << 22
+#: n-grams that a task of the first pass gathers before it sends them, entries that a
+#: summary takes in at once, and rows that a task of the second pass gathers.
+HELD = 1 << 21
+HELD_ENTRIES = 1 << 19
 HELD_ROWS = 1 << 19
 #: The bitmap has 32 bits for each survivor, up to 2 ** MAX_BITS; beyond that more is counted and thrown away.
 MAX_BITS = 31
@@ -137,9 +139,11 @@ class Summary:
 
     def merge(self, keys: np.ndarray, counts: np.ndarray) -> None:
         """Take in counted entries, those of another summary of this capacity too (its `lost` is to be added)."""
-        keys, where = np.unique(np.concatenate([self.keys, keys]), return_inverse=True)
-        both = np.zeros(len(keys), dtype=np.int64)
-        np.add.at(both, where, np.concatenate([self.counts, counts]))
+        keys = np.concatenate([self.keys, keys])
+        order = np.argsort(keys, kind="stable")
+        keys, both = keys[order], np.concatenate([self.counts, counts])[order]
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+        keys, both = keys[first], np.add.reduceat(both, first) if len(first) else both
         if len(keys) > self.capacity:
             beyond = int(np.partition(both, len(keys) - self.capacity - 1)[len(keys) - self.capacity - 1])
             self.lost += beyond
@@ -301,7 +305,7 @@ def frequent_ngrams(
     ranges = shuffle_partitions(spark)
     docs = docs.select("text", "lang")
     cells = docs.mapInArrow(_summaries(ranges, HELD, longest), _CELLS).repartitionById(ranges, F.col("range"))
-    survivors = cells.sortWithinPartitions("range", "kind").mapInArrow(_survivors(threshold, HELD), "range int, n long, prints binary")
+    survivors = cells.sortWithinPartitions("range", "kind").mapInArrow(_survivors(threshold, HELD_ENTRIES), "range int, n long, prints binary")
     survivors = settle(survivors, folder, "survivors")
     bits, bitmap = _bitmap(survivors, max_bits)
     shared = spark.sparkContext.broadcast(bitmap)

@@ -65,6 +65,7 @@ def test_no_rows(no_docs):
 @pytest.mark.parametrize("held, held_rows, ranks, threshold", [(1, 1, 3, 2), (500, 40, 20, 5), (1 << 22, 1 << 19, 2000, 30)])
 def test_small_cells_and_summaries_equal_brute_force(spark, monkeypatch, held, held_rows, ranks, threshold):
     monkeypatch.setattr(phrases, "HELD", held)
+    monkeypatch.setattr(phrases, "HELD_ENTRIES", held)
     monkeypatch.setattr(phrases, "HELD_ROWS", held_rows)
     rng, docs = random.Random(held), []
     for i in range(120):
