@@ -37,7 +37,7 @@ SCALE = 1_000_000_000
 MIN_DOCS = 3
 TERM_RANKS = 200
 #: Rows of counts that a task gathers before it sends them, and nodes that a tree may have.
-HELD_ROWS = 1 << 20
+HELD_ROWS = 1 << 18
 NODES = 1 << 16
 #: Groups up to which their table, some hundred bytes each, goes to every executor.
 BROADCAST_GROUPS = 200_000
