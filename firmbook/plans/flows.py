@@ -23,6 +23,8 @@ from firmbook.operators.conform import conform
 from firmbook.operators.enrich import join_lookup, join_lookups
 from firmbook.operators.sinks import write_parquet
 from firmbook.operators.storage import compression_ratio, dataset_bytes, dataset_names
+from firmbook.operators.versions import WHOLE, replace_part
+from firmbook.sources.accounting import accounted_ingest
 from firmbook.sources.dumps import read_dump
 from firmbook.sources.lookups import qualification_lookup, reason_lookup, size_lookup
 from firmbook.sources.tables import read_lenient_csv, read_table, read_table_csv
@@ -104,7 +106,8 @@ def csv_to_parquet(
     Tables: ``empresas``, ``estabelecimentos``, ``socios``, plain or enriched:
     the columns are those of the files' header, all as text. Files of one table
     must agree in it. Of the first and last, rows longer than the header are
-    dropped. A table that is absent is passed over.
+    dropped, of the other one ends the conversion with an error. A table that is
+    absent is passed over.
     """
     encodings = encodings or {}
     present = dataset_names(spark, csv_root)
@@ -165,12 +168,20 @@ def _ingest(
 ) -> DataFrame:
     """Read dumps (``options`` are those of ``read_dump``), store them, return the table.
 
-    With ``month`` (``yyyy-MM``) the table is partitioned by ``mes`` and only
-    this month is replaced, for ``latest_snapshot`` to choose from. The dump is
-    written straight into the partition: nothing is shuffled. With the option
-    ``file_column`` the table keeps the file of each row, and ``rows_per_file``
-    on that column tells how many rows of each file were kept.
+    The table is replaced whole or not at all: until its last row is written,
+    and if the write fails, readers see what was there (``operators.versions``).
+    With ``month`` (``yyyy-MM``) the table has a part for each ``mes`` and only
+    this one is replaced, for ``latest_partition`` to choose from. Nothing is
+    shuffled. With the option ``file_column`` the table keeps the file of each
+    row, and ``rows_per_file`` on that column tells how many rows of each file
+    were kept. With the option ``dropped`` (a folder) the lines that are not
+    kept go to a table there with their file, in parts alike, out of the same
+    parse, and the manifest's notes state the rows read, kept and dropped.
     """
-    place = target if month is None else f"{target}/mes={month}"
-    write_parquet(read_dump(spark, paths, columns, **options), place)
+    dropped = options.pop("dropped", None)
+    part = (WHOLE, None) if month is None else (month, "mes")
+    if dropped is None:
+        replace_part(read_dump(spark, paths, columns, **options), target, *part)
+    else:
+        accounted_ingest(spark, paths, columns, target, dropped, *part, **options)
     return read_table(spark, target)

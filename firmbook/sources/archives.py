@@ -23,9 +23,9 @@ def unpack_zips(
     refused there.
     """
     out_dir = qualified(spark, out_dir)
-    _refuse_unknown(out_dir)
+    refuse_unknown(out_dir)
     for path in [paths] if isinstance(paths, str) else paths:
-        _refuse_unknown(qualified(spark, path))
+        refuse_unknown(qualified(spark, path))
     # Only path and length are selected: no content is read by the scan.
     archives = spark.read.format("binaryFile").load(paths).select("path", "length")
     return archives.mapInPandas(_unpacker(suffix, out_dir), UNPACKED)
@@ -42,10 +42,11 @@ def qualified(spark: SparkSession, location: str) -> str:
     return fs.makeQualified(path).toString()
 
 
-def _refuse_unknown(location: str) -> None:
+def refuse_unknown(location: str) -> None:
+    """Raise for a store that tasks cannot open by themselves."""
     scheme = location.partition(":")[0]
     if scheme not in SCHEMES:
-        raise ValueError(f"archives cannot be unpacked from or to a {scheme}: location")
+        raise ValueError(f"tasks cannot open files at a {scheme}: location")
 
 
 def _unpacker(suffix: str, out_dir: str):

@@ -52,7 +52,7 @@ def tidy_dump(
     others: Sequence[str] = (),
 ) -> DataFrame:
     """Drop rows with too many fields, keep short ones, turn null tokens into null."""
-    kept = raw.where(~_has_extra_fields(columns, sep))
+    kept = raw.where(~has_extra_fields(columns, sep))
     return nullify_tokens(kept.select(*columns, *others), null_tokens, columns)
 
 
@@ -121,7 +121,8 @@ def rows_per_file(
     return counted.rollup("file").agg(F.sum("n_rows").alias("n_rows"))
 
 
-def _has_extra_fields(columns: Sequence[str], sep: str) -> Column:
+def has_extra_fields(columns: Sequence[str], sep: str) -> Column:
+    """Whether a row, read with its raw line, has more fields than there are columns."""
     # The reader hands over the raw line of every row whose field count is off.
     # A quote opens a field only at its start, ends at one that is not doubled,
     # or else with the line.

@@ -7,6 +7,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from firmbook.operators.versions import is_versioned, manifest, read_version
+
 
 def latest_snapshot(
     df: DataFrame, month_col: str, as_of: date, lookback: int = 11
@@ -28,13 +30,20 @@ def latest_partition(
 ) -> DataFrame:
     """As :func:`latest_snapshot`, of a Parquet table partitioned by ``month_col``.
 
-    The month is the latest of whose folder lists a file with content; a folder
-    with no more than empty files counts as none. Only that month is read.
+    Of a table with versions the manifest tells which months have rows. Else the
+    month is the latest whose folder holds a row: of its files footers are read
+    until one has any, so months written empty are passed over. Only that month
+    is read.
     """
+    months = [_months_back(as_of, back) for back in range(lookback)]
+    if is_versioned(spark, path):
+        parts = manifest(spark, path)["parts"]
+        latest = next((m for m in months if m in parts and parts[m]["rows"]), None)
+        return read_version(spark, path, parts=[latest] if latest else [])
     table = spark.read.parquet(path)
-    for back in range(lookback):
-        month = _months_back(as_of, back)
-        if _has_content(spark, f"{path.rstrip('/')}/{month_col}={month}"):
+    for month in months:
+        folder = f"{path.rstrip('/')}/{month_col}={month}"
+        if _has_content(spark, folder) and not spark.read.schema(table.schema).parquet(folder).isEmpty():
             return table.where(F.col(month_col) == month)
     return table.where(F.lit(False))
 

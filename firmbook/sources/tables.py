@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from firmbook.layout import NULL_TOKENS, text_schema
-from firmbook.sources.dumps import dump_options, dump_schema, nullify_tokens, tidy_dump
+from firmbook.operators.versions import is_versioned, read_version
+from firmbook.sources.dumps import RAW_LINE, dump_options, dump_schema, has_extra_fields, nullify_tokens, tidy_dump
 
 
 def header_columns(
@@ -31,23 +33,21 @@ def read_table_csv(
     """Read a CSV table with header, every column as text; null tokens become null.
 
     ``columns`` are chosen by the names in the header, in any order; all of them
-    if it is not given. The files of one table must have the same header. Texts
-    with line breaks need ``multi_line``, which makes a file unsplittable.
+    if it is not given. The files of one table must have the same header. A row
+    shorter than the header is filled with null, a longer one ends the read with
+    an error that shows it: nothing of a row is cut off unseen. Texts with line
+    breaks need ``multi_line``, which makes a file unsplittable.
     """
     names = header_columns(spark, path, sep, encoding)
-    df = (
-        spark.read.schema(text_schema(names))
-        .options(
-            header=True,
-            sep=sep,
-            encoding=encoding,
-            escape='"',
-            enforceSchema=False,
-            multiLine=multi_line,
-        )
+    raw = (
+        spark.read.schema(dump_schema(names))
+        .options(**dump_options(sep, encoding, multi_line, header=True), enforceSchema=False)
         .csv(_paths(path))
     )
-    return nullify_tokens(df.select(*_chosen(names, columns)), null_tokens)
+    shown = F.concat(F.lit(f"longer than the header of {len(names)} columns: "), F.substring(RAW_LINE, 1, 500))
+    checked = F.when(has_extra_fields(names, sep), F.raise_error(shown).cast("boolean")).otherwise(True)
+    kept = raw.where(checked)
+    return nullify_tokens(kept.select(*_chosen(names, columns)), null_tokens)
 
 
 def read_lenient_csv(
@@ -116,5 +116,5 @@ def read_inferred_csv(
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Read a Parquet table."""
-    return spark.read.parquet(path)
+    """Read a Parquet table, of one with versions the current one."""
+    return read_version(spark, path) if is_versioned(spark, path) else spark.read.parquet(path)

@@ -77,6 +77,36 @@ def land_bytes(spark: SparkSession, path: str, content: bytes) -> str:
     return path
 
 
+def land_gzip(lines: DataFrame, folder: str, name: str) -> str:
+    """Write a one-column table of lines as gzip files called after the task, in place of those of that name."""
+
+    def pack(batches):
+        import gzip
+        import uuid as ids
+
+        import pandas as pd
+        from pyarrow import fs
+        from pyspark import TaskContext
+
+        scheme, colon, rest = folder.partition(":")
+        if colon and rest.startswith("//"):
+            store, base = fs.FileSystem.from_uri(folder)
+        else:
+            store, base = fs.LocalFileSystem(), "/" + (rest if colon else folder).lstrip("/")
+        store.create_dir(base, recursive=True)
+        target = f"{base}/{name}-{TaskContext.get().partitionId():05d}.csv.gz"
+        draft = f"{base}/.{ids.uuid4().hex}"
+        with store.open_output_stream(draft, compression=None) as sink, gzip.GzipFile(fileobj=sink, mode="wb", mtime=0) as out:
+            for batch in batches:
+                for line in batch.iloc[:, 0]:
+                    out.write((line + "\n").encode("latin-1"))
+        store.move(draft, target)
+        yield pd.DataFrame({"file": [target]})
+
+    lines.mapInPandas(pack, "file string").count()
+    return folder
+
+
 def land_archives(lines: DataFrame, folder: str, member: str) -> str:
     """Zip a one-column table of lines, one archive per task, one member in each."""
 
