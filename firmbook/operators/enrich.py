@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import add
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 LABEL_SUFFIX = "_descricao"
@@ -15,7 +15,8 @@ LABEL_SUFFIX = "_descricao"
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 _CODE, _LABEL = "_lookup_code", "_lookup_label"
-_HOT = "_hot_code"
+_HOT, _KEY = "_hot_code", "_shuffle_code"
+_NEAR, _NEAR_LABEL, _FAR_LABEL = "_near_code", "_near_label", "_far_label"
 
 
 def unique_codes(lookup: DataFrame, key: str = "codigo", value: str = "descricao") -> DataFrame:
@@ -102,24 +103,38 @@ def _attach(
     match = code.eqNullSafe(F.col(_CODE)) if null_safe else code == F.col(_CODE)
     if small:
         return facts.join(F.broadcast(labels), match, "left").drop(_CODE)
-    # Made single once, for its size and for the join.
-    labels = labels.persist(StorageLevel.DISK_ONLY)
     # A lookup that is large only by repeated codes is small once they are single.
     if fits_broadcast(labels, **(bounds or {}))[0]:
         return facts.join(F.broadcast(labels), match, "left").drop(_CODE)
-    # Any code, null too, may be on a large part of the facts. Such rows are not
-    # shuffled: the labels of codes on more than an even task's share of the facts,
-    # fewer than there are tasks, are sent to the rows where they are.
+    return _shuffled(facts, code, labels, name, null_safe)
+
+
+def _shuffled(facts: DataFrame, code: Column, labels: DataFrame, name: str, null_safe: bool) -> DataFrame:
+    """Left join by a shuffle in which no code, nor its absence, brings more than a task's share together.
+
+    Two passes over the facts. The first, over their codes alone, finds those on
+    more than an even task's share of all rows, fewer than there are tasks. Rows
+    with one of these get the few labels by a broadcast and go on without a key,
+    as those without a code do; Spark spreads the rows of an outer join that
+    have no key, which a test asserts.
+    """
     tasks = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = facts.where(code.isNotNull()).groupBy(code.alias(_HOT)).agg(F.count("*").alias("n"))
-    share = F.lit(facts.agg(F.count("*")).scalar()) / tasks
-    hot = [row[_HOT] for row in counts.where(F.col("n") > share).select(_HOT).collect()]
-    spread = code.isNull() | code.isin(hot) if hot else code.isNull()
-    stay, go = facts.where(spread), facts.where(~spread)
+    seen = Observation(f"facts-{uuid.uuid4().hex}")
+    codes = facts.select(code.alias(_HOT)).observe(seen, F.count(F.lit(1)).alias("rows"))
+    counts = codes.where(F.col(_HOT).isNotNull()).groupBy(_HOT).agg(F.count("*").alias("n"))
+    most = counts.orderBy(F.desc("n")).limit(tasks).collect()
+    hot = [row[_HOT] for row in most if row["n"] * tasks > seen.get["rows"]]
+
     chosen = F.col(_CODE).isin(hot) if hot else F.lit(False)
     near = labels.where(chosen | F.col(_CODE).isNull() if null_safe else chosen)
-    stayed = stay.join(F.broadcast(near), match, "left").drop(_CODE)
-    return stayed.unionByName(go.join(labels, code == F.col(_CODE), "left").drop(_CODE))
+    near = near.select(F.col(_CODE).alias(_NEAR), F.col(name).alias(_NEAR_LABEL))
+    match = code.eqNullSafe(F.col(_NEAR)) if null_safe else code == F.col(_NEAR)
+    spread = code.isNull() | code.isin(hot) if hot else code.isNull()
+    keyed = facts.join(F.broadcast(near), match, "left").withColumn(_KEY, F.when(~spread, code))
+    far = labels.where(F.col(_CODE).isNotNull() & ~chosen).withColumnRenamed(name, _FAR_LABEL)
+    joined = keyed.join(far, F.col(_KEY) == F.col(_CODE), "left")
+    label = F.coalesce(F.col(_NEAR_LABEL), F.col(_FAR_LABEL)).alias(name)
+    return joined.select(*(F.col(f"`{c}`") for c in facts.columns), label)
 
 
 def _octets(table: DataFrame) -> Column:

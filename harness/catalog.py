@@ -28,7 +28,7 @@ from firmbook.layout import (
 )
 from firmbook.operators.aggregates import duplicate_count, listagg_distinct, max_length, null_count
 from firmbook.operators.enrich import decode_codes, join_lookup, join_lookups
-from firmbook.operators.keys import surrogate_key
+from firmbook.operators.keys import append_load, read_loads, surrogate_key
 from firmbook.operators.sinks import save_table, write_csv, write_parquet
 from firmbook.operators.storage import compression_ratio, dataset_bytes
 from firmbook.operators.versions import manifest, replace_part
@@ -43,6 +43,7 @@ from firmbook.sources.tables import (
     read_table,
     read_table_csv,
 )
+from firmbook.sources.zips import read_zips
 from firmbook.streaming.ingest import incremental_ingest
 from firmbook.streaming.ledger import ledger_ingest, read_ingested
 from harness.landing import (
@@ -168,6 +169,15 @@ def src_zip_members(t):
     return read_dump(t.spark, f"{root}/csv", COMPANIES)
 
 
+@query(ALL_COMPANIES, "companies")
+def src_zip_source(t):
+    # Read out of the archives: no file is written but them.
+    root = scratch(t.spark)
+    land_archives(t.companies.select(dump_line(t.companies)), f"{root}/zip", COMPANY_MEMBER)
+    land_bytes(t.spark, f"{root}/zip/damaged.zip", b"PK but no archive")
+    return read_zips(t.spark, f"{root}/zip/*.zip", COMPANY_MEMBER, COMPANIES, skip_failed_files=True)
+
+
 # Texts with blanks at both ends and, in some rows, a line break.
 PADDED = """select * replace (case when length(nome_socio) % 3 = 0 then '  ' || nome_socio || chr(10) || 'Filho '
                                   else ' ' || nome_socio || '  ' end as nome_socio) from partners"""
@@ -553,6 +563,28 @@ def dense_ids(t):
     )
 
 
+@query(
+    """select carga, count(*) as n_rows, min(id) as first_id, max(id) as last_id, count(distinct id) as n_ids from (
+         select 'jan' as carga, row_number() over () as id from partners
+         union all select 'fev', row_number() over () + (select count(*) from partners) from companies
+         union all select 'mar', row_number() over () + (select count(*) from partners) + (select count(*) from companies)
+         from partners where identificador_socio = 'A')
+       group by carga""",
+    "partners companies",
+)
+def surrogate_key_loads(t):
+    # Three loads, one of them repeated: ids go on where the last load ended.
+    root, key = scratch(t.spark), ["cnpj_basico"]
+    append_load(t.partners.select(*key), root, "jan")
+    append_load(t.companies.select(*key), root, "fev")
+    append_load(t.companies.select(*key), root, "fev")
+    append_load(t.partners.where("identificador_socio = 'A'").select(*key), root, "mar")
+    ids = read_loads(t.spark, root).groupBy("carga")
+    return ids.agg(
+        F.count("*").alias("n_rows"), F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.count_distinct("id").alias("n_ids")
+    )
+
+
 @query("select cnpj_basico, true as carimbado from companies", "companies")
 def load_timestamp(t):
     # The time of the load: not before it was asked for, and the same in all rows, as the query's own is.

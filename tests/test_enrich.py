@@ -64,6 +64,15 @@ def test_null_and_hot_codes_stay_where_they_are(spark):
         spark.conf.set("spark.sql.shuffle.partitions", 4)
 
 
+def test_large_lookup_scans_the_facts_once_beside_their_codes(spark, lookup, tmp_path, plan):
+    path = str(tmp_path / "facts")
+    spark.range(2000).selectExpr("id", "concat('c', id % 40) as code", "repeat('x', 50) as wide").write.parquet(path)
+    joined = join_lookup(spark.read.parquet(path), "code", lookup, max_rows=3)
+    text = plan(joined)
+    assert text.count("FileScan parquet") == 1 and "InMemoryTableScan" not in text
+    assert joined.columns == ["id", "code", "wide", "code_descricao"]
+
+
 def test_size_check(lookup):
     assert fits_broadcast(lookup, lookup.limit(0)) == [True, True]
     assert fits_broadcast(lookup, lookup.limit(31), max_rows=31) == [False, True]
