@@ -35,7 +35,9 @@ from firmbook.operators.versions import manifest, replace_part
 from firmbook.plans import flows, quality, reports
 from firmbook.sources.archives import unpack_zips
 from firmbook.sources.dumps import nullify_tokens, read_dump, rows_per_file
+from firmbook.sources.evidence import read_evident_csv
 from firmbook.sources.lookups import read_lookup, size_lookup
+from firmbook.sources.records import read_split_dump
 from firmbook.sources.snapshots import latest_partition, latest_snapshot
 from firmbook.sources.tables import (
     read_inferred_csv,
@@ -169,6 +171,13 @@ def src_zip_members(t):
     return read_dump(t.spark, f"{root}/csv", COMPANIES)
 
 
+@query("""select * replace (razao_social || chr(10) || 'Filial "A"' as razao_social) from companies""", "companies")
+def src_split_records(t):
+    # Every record has a line break in quotes, and its file may be split anywhere.
+    broken = t.companies.withColumn("razao_social", F.concat("razao_social", F.lit('\nFilial "A"')))
+    return read_split_dump(t.spark, land_dump(broken, scratch(t.spark)), COMPANIES)
+
+
 @query(ALL_COMPANIES, "companies")
 def src_zip_source(t):
     # Read out of the archives: no file is written but them.
@@ -217,6 +226,18 @@ def src_inferred_csv(t):
     return typed.withColumn("o_orderkey", F.col("o_orderkey").cast("bigint"))
 
 
+@query(
+    """select cep, o_orderkey, o_totalprice, cast(o_orderdate as date) as o_orderdate
+       from (select *, lpad(cast(o_orderkey * 7 % 100000000 as string), 8, '0') as cep from orders)"""
+)
+def src_evident_csv(t):
+    # As above, but nobody says that one column holds codes.
+    path = scratch(t.spark)
+    cep = F.lpad((F.col("o_orderkey") * 7 % 100000000).cast("string"), 8, "0").alias("cep")
+    write_csv(t.given("orders").select(cep, "o_orderkey", "o_totalprice", F.to_date("o_orderdate").alias("o_orderdate")), path)
+    return read_evident_csv(t.spark, path).withColumn("o_orderkey", F.col("o_orderkey").cast("bigint"))
+
+
 @query(
     """select cnpj_basico, razao_social, natureza_juridica, qualificacao_responsavel,
               capital_social, nullif(porte_empresa, '01') as porte_empresa,
