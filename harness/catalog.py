@@ -28,6 +28,7 @@ from firmbook.layout import (
 )
 from firmbook.operators.aggregates import duplicate_count, listagg_distinct, max_length, null_count
 from firmbook.operators.enrich import decode_codes, join_lookup, join_lookups
+from firmbook.operators.indexes import lookup, write_indexed
 from firmbook.operators.keys import append_load, read_loads, surrogate_key
 from firmbook.operators.sinks import save_table, write_csv, write_parquet
 from firmbook.operators.storage import compression_ratio, dataset_bytes
@@ -387,6 +388,9 @@ def sink_typed_table(t):
     return t.spark.table(name).drop("data_criacao")
 
 
+TYPED_INDEXES = ("uf", "municipio", "cnae_fiscal_principal", "situacao_cadastral")
+
+
 # --- projections and expressions ---------------------------------------------
 
 
@@ -1350,6 +1354,29 @@ def load_companies(t):
     return flows.load_companies(t.companies).drop("data_criacao")
 
 
+@query(TYPED_ESTABLISHMENTS, "establishments")
+def sink_indexed_table(t):
+    # Laid out for lookups by four columns and by the full id.
+    path, files = scratch(t.spark), int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    typed = flows.load_establishments(t.establishments).drop("data_criacao")
+    write_indexed(typed, path, TYPED_INDEXES, files, ids=["cnpj_completo"])
+    return read_table(t.spark, path)
+
+
+@query(
+    "select * from (" + TYPED_ESTABLISHMENTS + ") where cnpj_completo in (select max(cnpj_completo) from ("
+    + TYPED_ESTABLISHMENTS + ")) or uf = 'SP'",
+    "establishments",
+)
+def sink_indexed_lookup(t):
+    path, files = scratch(t.spark), int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    typed = flows.load_establishments(t.establishments).drop("data_criacao")
+    write_indexed(typed, path, TYPED_INDEXES, files, ids=["cnpj_completo"])
+    last = read_table(t.spark, path).agg(F.max("cnpj_completo")).first()[0]
+    state = lookup(t.spark, path, "uf", ["SP"])
+    return state.unionByName(lookup(t.spark, path, "cnpj_completo", [last]).where("uf <> 'SP' or uf is null"))
+
+
 @query(TYPED_ESTABLISHMENTS, "establishments")
 def load_establishments(t):
     return flows.load_establishments(t.establishments).drop("data_criacao")
