@@ -39,7 +39,7 @@ NO_LANG = "und"
 #: summary takes in at once, and rows that a task of the second pass gathers.
 HELD = 1 << 21
 HELD_ENTRIES = 1 << 19
-HELD_ROWS = 1 << 19
+HELD_ROWS = 1 << 18
 #: The bitmap has 32 bits for each survivor, up to 2 ** MAX_BITS; beyond that more is counted and thrown away.
 MAX_BITS = 31
 
@@ -102,13 +102,16 @@ def _summaries(ranges: int, most: int, longest: int):
     """Counted n-grams of stretches of texts, a cell for each partition, and the mass that each cell brings."""
 
     def cells(prints: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        # Compressed here: a batch of cells is held by both sides of a task.
+        packer = zstandard.ZstdCompressor(level=1)
         keys, counts = np.unique(np.concatenate(prints), return_counts=True)
         bounds = np.searchsorted(_range_of(keys, ranges), np.arange(ranges + 1))
         rows = []
         for number, (at, to) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
             if at < to:
                 rows.append((number, 0, int(counts[at:to].sum()), None, None))
-                rows.append((number, 1, None, pack_sorted(keys[at:to]), pack(counts[at:to].astype(np.uint64))))
+                packed = pack_sorted(keys[at:to]), pack(counts[at:to].astype(np.uint64))
+                rows.append((number, 1, None, *map(packer.compress, packed)))
             if len(rows) >= 128:
                 yield _batch(rows)
                 rows = []
@@ -161,6 +164,7 @@ def _survivors(threshold: int, most: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, mass, summary, keys, counts, size = None, 0, None, [], [], 0
+        unpacker = zstandard.ZstdDecompressor()
 
         def taken() -> None:
             nonlocal summary, keys, counts, size
@@ -184,8 +188,8 @@ def _survivors(threshold: int, most: int):
                 if kind.as_py() == 0:
                     mass += own.as_py()
                     continue
-                keys.append(unpack_sorted(prints.as_buffer()))
-                counts.append(unpack(times.as_buffer()).astype(np.int64))
+                keys.append(unpack_sorted(unpacker.decompress(prints.as_buffer())))
+                counts.append(unpack(unpacker.decompress(times.as_buffer())).astype(np.int64))
                 size += len(keys[-1])
                 if size >= most:
                     taken()
