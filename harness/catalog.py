@@ -34,6 +34,7 @@ from firmbook.operators.sinks import save_table, write_csv, write_parquet
 from firmbook.operators.storage import compression_ratio, dataset_bytes
 from firmbook.operators.versions import manifest, replace_part
 from firmbook.plans import flows, quality, reports
+from firmbook.plans.footers import footer_null_profile
 from firmbook.sources.archives import unpack_zips
 from firmbook.sources.dumps import nullify_tokens, read_dump, rows_per_file
 from firmbook.sources.evidence import read_evident_csv
@@ -914,6 +915,19 @@ def agg_conditional_sum(t):
     )
 
 
+@query(
+    "select count(*) as total, "
+    + ", ".join(f"count(*) - count({c}) as {c}_null" for c in FILLED)
+    + " from companies",
+    "companies",
+)
+def dq_footer_null_profile(t):
+    # From the footers of the written table: no row of it is read.
+    path = scratch(t.spark)
+    write_parquet(t.companies, path)
+    return footer_null_profile(t.spark, path, FILLED)
+
+
 @query(
     """select cast(sum(n - 1) + sum(case when k is null then 1 else 0 end) as bigint) as duplicatas
        from (select cnpj_cpf_socio as k, count(*) as n from partners group by k)""",
