@@ -37,6 +37,7 @@ from firmbook.plans import flows, quality, reports
 from firmbook.plans.footers import footer_null_profile
 from firmbook.sources.archives import unpack_zips
 from firmbook.sources.dumps import nullify_tokens, read_dump, rows_per_file
+from firmbook.sources.encodings import read_any_dump, repaired
 from firmbook.sources.evidence import read_evident_csv
 from firmbook.sources.lookups import read_lookup, size_lookup
 from firmbook.sources.records import read_split_dump
@@ -180,6 +181,18 @@ def src_split_records(t):
     return read_split_dump(t.spark, land_dump(broken, scratch(t.spark)), COMPANIES)
 
 
+@query(ALL_COMPANIES, "companies")
+def src_mixed_encodings(t):
+    # Latin-1 and UTF-8 files in one folder; the names in one of them were decoded twice before.
+    root, size = scratch(t.spark), F.coalesce("porte_empresa", F.lit("none"))
+    twice = F.encode(F.col("razao_social"), "UTF-8")
+    twice = t.companies.where(size == "01").withColumn("razao_social", F.decode(twice, "ISO-8859-1"))
+    land_dump(t.companies.where(~size.isin("01", "03")), f"{root}/dump")
+    land_dump(twice, f"{root}/dump", mode="append")
+    land_dump(t.companies.where(size == "03"), f"{root}/dump", mode="append", encoding="UTF-8")
+    return repaired(read_any_dump(t.spark, f"{root}/dump", COMPANIES), ["razao_social"])
+
+
 @query(ALL_COMPANIES, "companies")
 def src_zip_source(t):
     # Read out of the archives: no file is written but them.

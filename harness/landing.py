@@ -33,11 +33,11 @@ def _hadoop(spark: SparkSession, location: str):
     return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def land_dump(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Write a table as a headerless latin-1 dump."""
+def land_dump(df: DataFrame, path: str, mode: str = "overwrite", encoding: str = "ISO-8859-1") -> str:
+    """Write a table as a headerless dump, in latin-1 unless told otherwise."""
     df.write.mode(mode).options(
         sep=";",
-        encoding="ISO-8859-1",
+        encoding=encoding,
         quoteAll=True,
         escape='"',
         header=False,
