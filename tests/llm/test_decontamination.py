@@ -167,34 +167,3 @@ def test_seeds_recall_what_exact_mode_finds(spark, monkeypatch, copies, rare):
     assert seeded <= exact and len(exact) > 25 * (copies + 9)
     # Where no pair counts as rare, one seed a stretch is left.
     assert len(seeded) >= (0.97 if rare else 0.9) * len(exact)
-
-
-def test_cost_of_a_text_hardly_grows_with_the_items():
-    import time
-
-    import pyarrow as pa
-
-    rng = random.Random(2)
-    word = lambda: f"w{int(60_000 * rng.random() ** 3)}"
-    docs = [" ".join(word() for _ in range(300)) for _ in range(1500)]
-    batch = pa.RecordBatch.from_arrays([pa.array(range(len(docs))), pa.array(docs)], names=["doc_id", "text"])
-    seconds = {}
-    for n in (200, 10_000):
-        seeds = dc.Seeds([(i, " ".join(word() for _ in range(35))) for i in range(n)])
-        texts = np.zeros(len(seeds.prints), np.int64)
-        words = dc._normal(batch.column("text"))
-        offered, owners = dc._offered(words)
-        at, seed = seeds.found(offered)
-        np.add.at(texts, np.unique(np.stack([owners[at], seed]), axis=1)[1], 1)
-        seeds.choose(texts, len(docs))
-
-        class Shared:
-            value = seeds
-
-        best = 9e9
-        for _ in range(3):
-            start = time.process_time()
-            list(dc._align_seeded(Shared, dc.THRESHOLD)([batch]))
-            best = min(best, time.process_time() - start)
-        seconds[n] = best
-    assert seconds[10_000] < 2 * seconds[200] + 0.05, seconds

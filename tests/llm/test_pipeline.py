@@ -44,7 +44,7 @@ def test_registered(spark):
 
     assert importlib.util.find_spec("corpus_pipeline") and "pipeline" in entry.queries()
     names = {n.split("_")[0] for n in entry.queries() if n.startswith("op")}
-    assert names == {f"op{n}" for n in range(1, 11)}
+    assert names == {f"op{n}" for n in range(1, 14)}
     assert jaccard.SHINGLE == 5 and [n for n, _ in corpus_pipeline.STAGES][1] == "n-gram Jaccard join"
 
 
