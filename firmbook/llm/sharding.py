@@ -12,8 +12,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from firmbook.llm.shared import settle, workspace
+from firmbook.llm.shared import workspace
 
 LAW = "key"
 
@@ -47,7 +48,10 @@ def scatter(
     runs again finds every row where it was.
     """
     placed = docs.select(shard_of("doc_id", shards, seed).alias("shard"), F.struct(*docs.columns).alias("row"))
-    placed = settle(placed, workspace(docs.sparkSession), "scattered")
+    # Whole rows, texts included, are written twice; zstd keeps both near the input's size.
+    path = f"{workspace(docs.sparkSession)}/scattered"
+    placed.write.option("compression", "zstd").parquet(path)
+    placed = docs.sparkSession.read.schema(placed.schema).parquet(path)
     # A row a shard.
     held = placed.groupBy("shard").agg(F.sum(F.col("row")[size]).alias("bytes"), F.count("*").alias("rows")).collect()
     buckets = [1] * shards
@@ -87,6 +91,11 @@ def order(scattered: DataFrame, seed: int) -> DataFrame:
     )
 
 
+def _placed(sized: DataFrame, shards: int, seed: int, bucket_bytes: int, bucket_rows: int) -> DataFrame:
+    """shard, slot and the whole row, of rows with their size and id beside them."""
+    return order(scatter(sized, "size", shards, seed, bucket_bytes, bucket_rows), seed)
+
+
 def write_shards(
     docs: DataFrame, path: str, shards: int = 16, seed: int = 7, bucket_bytes: int = 64 << 20, bucket_rows: int = 1 << 17
 ) -> None:
@@ -95,30 +104,45 @@ def write_shards(
     The row is one column, so no name of its own can clash. An empty table writes an empty table.
     """
     sized = docs.select(row_size().alias("size"), "doc_id", F.struct(*docs.columns).alias("doc"))
-    placed = order(scatter(sized, "size", shards, seed, bucket_bytes, bucket_rows), seed)
+    placed = _placed(sized, shards, seed, bucket_bytes, bucket_rows)
     placed.select("shard", "slot", F.col("row.doc").alias("doc")).write.partitionBy("shard").parquet(path)
 
 
 def place_rows(
     docs: DataFrame, shards: int = 16, seed: int = 7, bucket_bytes: int = 64 << 20, bucket_rows: int = 1 << 17
 ) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard: the same places without the texts.
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard: the places of the rows as written.
 
+    The whole rows, texts included, are scattered, shuffled and written below
+    shard=<n> in the shared folder; the result is read back from those files.
     A null text has size 1 and checksum 0; null ids meet in one shard; other
-    columns are not looked at; an empty table gives no rows.
+    columns are carried, not looked at; an empty table gives no rows.
     """
-    digests = docs.select(
+    doc = F.struct(*docs.columns).alias("doc")
+    sized = docs.select(
         "doc_id",
         row_size().alias("size"),
         F.crc32(F.coalesce(F.col("text"), F.lit(""))).alias("text_crc32"),
         shard_of("doc_id", shards + 1, seed).alias("grown_shard"),
+        doc,
+    )
+    path = f"{workspace(docs.sparkSession)}/shards"
+    placed = _placed(sized, shards, seed, bucket_bytes, bucket_rows)
+    placed.select("shard", "slot", F.col("row.doc").alias("doc")).write.option("compression", "zstd").partitionBy("shard").parquet(path)
+    written = StructType(
+        [
+            StructField("slot", LongType()),
+            StructField("doc", docs.select(doc).schema["doc"].dataType),
+            StructField("shard", IntegerType()),
+        ]
     )
-    return order(scatter(digests, "size", shards, seed, bucket_bytes, bucket_rows), seed).select(
-        "row.doc_id",
-        "row.size",
-        "row.text_crc32",
+    back = docs.sparkSession.read.schema(written).parquet(path)
+    return back.select(
+        F.col("doc.doc_id").alias("doc_id"),
+        row_size("doc.text").alias("size"),
+        F.crc32(F.coalesce(F.col("doc.text"), F.lit(""))).alias("text_crc32"),
         F.lit(LAW).alias("law"),
         "shard",
-        F.col("slot").cast("long").alias("slot"),
-        "row.grown_shard",
+        "slot",
+        shard_of("doc.doc_id", shards + 1, seed).alias("grown_shard"),
     )
